@@ -73,16 +73,8 @@ def fit_edges(reference_long: DataFrame, bins: int = 10, method: str = "exact")
     re-created frame is then safe to broadcast and is reused by every later
     step (and frozen for streaming drift) without recomputing the quantiles.
     """
-    from pyspark import StorageLevel
-
-    # The refine method reads its input twice (sketch, then rank window);
-    # keep the narrow (feature, x) projection for the duration of the fit.
-    src = reference_long.where(F.col("x").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = psi_edges(src, bins, method)
-        rows = fitted.collect()
-    finally:
-        src.unpersist()
+    fitted = psi_edges(reference_long, bins, method)
+    rows = fitted.collect()
     return reference_long.sparkSession.createDataFrame(rows, fitted.schema)
 
 

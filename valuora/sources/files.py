@@ -146,15 +146,17 @@ def read_requests(
     return parse_requests(raw, "__raw", full, corrupt_col)
 
 
-def parse_requests(df: DataFrame, text_col: str, schema: T.StructType, corrupt_col: str = "_corrupt_record") -> DataFrame:
-    """S12 on a column of JSON text (batch or stream)."""
+def parse_requests(df: DataFrame, text_col: str, schema: T.StructType, corrupt_col: str = "_corrupt_record",
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """S12 on a column of JSON text (batch or stream); ``keep`` passes columns through."""
     contract = T.StructType([f for f in schema.fields if f.name != corrupt_col])
     names = [f.name for f in contract.fields]
     parsed = F.from_json(F.col(text_col), contract, {"mode": "PERMISSIVE"})
     keys = F.json_object_keys(F.col(text_col))
     extra = F.filter(keys, lambda k: ~F.array_contains(F.array(*[F.lit(n) for n in names]), k))
     return df.select(
+        *keep,
         parsed.alias("__req"),
         F.when(keys.isNull(), F.col(text_col)).alias(corrupt_col),
         F.coalesce(extra, F.array().cast("array<string>")).alias("extra_keys"),
-    ).select("__req.*", corrupt_col, "extra_keys")
+    ).select(*keep, "__req.*", corrupt_col, "extra_keys")
