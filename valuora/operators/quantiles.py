@@ -13,8 +13,10 @@ Three methods, same output shape (group columns + ``q array<double>``):
     Exact *and* distributed: a sketch brackets each needed order statistic
     within a rank window of a few ``n/accuracy`` rows, one pass counts the
     rows below each bracket, and only the rows inside the brackets (ties
-    collapsed to ``(value, count)``) are ranked.  No task ever holds a whole
-    group, so a single hot group with a third of the table is fine.
+    collapsed to ``(value, count)``) are ranked.  Groups with fewer than
+    ``accuracy`` rows take the exact path (their value map is bounded by
+    ``accuracy``).  No task ever holds a whole large group, so a single hot
+    group with a third of the table is fine.
 """
 
 from __future__ import annotations
@@ -63,8 +65,13 @@ def _refined(src: DataFrame, groups: list[str], probs: list[float], accuracy: in
         F.percentile_approx("__x", lo_p, accuracy).cast("array<double>").alias("__lo"),
         F.percentile_approx("__x", hi_p, accuracy).cast("array<double>").alias("__hi"),
     )
-    # Pass 2: rows strictly below each lower bracket, and the rows inside.
     joined = keyed.join(sketch, gcols)
+    # Groups smaller than ``accuracy`` rows are bounded: exact percentile.
+    # (The sketch's rank guarantee only brackets the order statistics when
+    # n >= accuracy, which is exactly where the value map would be unbounded.)
+    small = joined.where(F.col("__n") < accuracy).groupBy(*gcols).agg(F.percentile("__x", probs).alias("q"))
+    joined = joined.where(F.col("__n") >= accuracy)
+    # Pass 2: rows strictly below each lower bracket, and the rows inside.
     below = joined.groupBy(*gcols).agg(
         *[F.sum((F.col("__x") < F.col("__lo")[j]).cast("long")).alias(f"__b{j}") for j in range(k)]
     )
@@ -105,6 +112,7 @@ def _refined(src: DataFrame, groups: list[str], probs: list[float], accuracy: in
             F.array_sort(F.collect_list(F.struct(F.col("__j"), value.alias("v")))), lambda s: s["v"]
         ).alias("q")
     )
+    out = small.unionByName(out)
     return out.drop("__g") if not groups else out
 
 
