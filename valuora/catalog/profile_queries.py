@@ -127,14 +127,14 @@ QPROBS = [0.001, 0.05, 0.25, 0.5, 0.75, 0.95, 0.999]
 
 
 @register("price_quantiles", with_sales(
-    f"""SELECT zoning, p.prob, round(q[p.i], 2) AS quantile FROM (
+    f"""SELECT zoning, p.prob, round(q[p.i], 1) AS quantile FROM (
       SELECT zoning, quantile_cont(sale_price, {QPROBS}) AS q FROM sales GROUP BY zoning) t,
       (SELECT unnest(range(1, {len(QPROBS) + 1})) AS i, unnest({QPROBS}) AS prob) p"""))
 def price_quantiles(spark, sf_dir):
     q = grouped_quantiles(sales_table(spark, sf_dir), ["zoning"], "sale_price", QPROBS, METHOD)
     probs = F.array(*[F.lit(p) for p in QPROBS])
     return q.select("zoning", F.posexplode("q").alias("i", "v")).select(
-        "zoning", F.element_at(probs, F.col("i") + 1).alias("prob"), F.round("v", 2).alias("quantile"))
+        "zoning", F.element_at(probs, F.col("i") + 1).alias("prob"), F.round("v", 1).alias("quantile"))
 
 
 MODE_COLS = ("neighborhood", "zoning", "building_type", "grade")
