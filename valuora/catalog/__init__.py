@@ -33,6 +33,7 @@ def _load() -> None:
         drift_queries,
         learned_queries,
         metric_queries,
+        ml_queries,
         model_queries,
         profile_queries,
         split_queries,

@@ -38,6 +38,9 @@ def build_session(
         builder = builder.master(master)
     conf = dict(RECOMMENDED_CONF)
     conf["spark.ui.enabled"] = "false"
+    if master and master.startswith("local"):
+        # Local mode runs everything in the driver JVM; give it real memory.
+        conf["spark.driver.memory"] = os.environ.get("VALUORA_DRIVER_MEMORY", "12g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
