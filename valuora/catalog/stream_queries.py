@@ -1,3 +1,184 @@
-"""Registered queries."""
+"""Streaming queries (T1-T5): batch twins with DuckDB oracles, and the real
+Structured Streaming jobs (file source, ``availableNow``, checkpointed
+Parquet sinks in the shared checkpoint folder) checked rows-only."""
 
-from valuora.catalog import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from valuora.catalog import register
+from valuora.catalog.sqlgen import long_sql, psi_sql
+from valuora.functions import contract as K
+from valuora.operators import drift
+from valuora.session import checkpoint_root, scratch_path
+from valuora.sources.tables import (
+    EVENTS_SQL,
+    HOLDOUT_YEAR,
+    REFERENCE_CUTOFF_YEAR,
+    SALES_NUMERIC,
+    VALIDATION_YEARS,
+    sale_events,
+    sales_table,
+    table,
+    with_sales,
+)
+from valuora.streaming import jobs as S
+
+DAY = 86_400
+MONTH = 30 * DAY
+YEAR = 365 * DAY
+
+
+def _bucket_sql(value: str, bounds, prefix: str) -> str:
+    parts = [f"sum(CASE WHEN {value} <= {float(b)!r} THEN 1 ELSE 0 END) AS {prefix}_le_{S._name(b)}" for b in bounds]
+    parts += [f"count({value}) AS {prefix}_count", f"sum({value}) AS {prefix}_sum"]
+    return ", ".join(parts)
+
+
+def _round_sum(df, col, d=6):
+    return df.withColumn(col, F.round(col, d))
+
+
+# ---------------------------------------------------------------- T2 (batch twin)
+@register("request_counters", f"""
+SELECT CAST(floor(epoch(ts) / {DAY}) * {DAY} AS BIGINT) AS window_start, event_type AS path,
+       CASE WHEN event_type = 'error' THEN '500' ELSE '200' END AS status, count(*) AS requests,
+       {_bucket_sql('value / 1000.0', S.LATENCY_BUCKETS, 'latency').replace('AS latency_sum', 'AS latency_sum_raw')}
+FROM events GROUP BY 1, 2, 3
+""".replace("sum(value / 1000.0) AS latency_sum_raw", "round(sum(value / 1000.0), 6) AS latency_sum"))
+def request_counters(spark, sf_dir):
+    out = S.request_counters(table(spark, sf_dir, "events"), window_seconds=DAY)
+    return _round_sum(out, "latency_sum")
+
+
+# ---------------------------------------------------------------- T3 (batch twin)
+@register("price_histogram", f"""
+WITH {EVENTS_SQL.strip()}
+SELECT CAST(floor(epoch(ts) / {MONTH}) * {MONTH} AS BIGINT) AS window_start,
+       {_bucket_sql('predicted_price', S.PRICE_BUCKETS, 'price').replace('sum(predicted_price) AS price_sum', 'round(sum(predicted_price), 2) AS price_sum')}
+FROM sale_ev GROUP BY 1
+""")
+def price_histogram(spark, sf_dir):
+    out = S.price_histogram(sale_events(spark, sf_dir), "ts", "predicted_price", MONTH)
+    return _round_sum(out, "price_sum", 2)
+
+
+# ---------------------------------------------------------------- T4 (batch twin)
+@register("delayed_label_windows", f"""
+WITH {EVENTS_SQL.strip()}
+SELECT CAST(floor(epoch(ts) / {MONTH}) * {MONTH} AS BIGINT) AS window_start, count(*) AS n_pairs,
+       round(sqrt(avg(pow(ln(1 + actual_price) - ln(1 + predicted_price), 2))), 6) AS log_rmse,
+       round(avg(abs(actual_price - predicted_price)), 2) AS dollar_mae
+FROM sale_ev WHERE label_ts >= ts AND label_ts <= ts + INTERVAL 365 DAY
+GROUP BY 1
+""")
+def delayed_label_windows(spark, sf_dir):
+    ev = sale_events(spark, sf_dir)
+    preds = ev.select("sale_id", "ts", "predicted_price")
+    labels = ev.select("sale_id", "label_ts", "actual_price").where(F.col("label_ts").isNotNull())
+    joined = S.delayed_label_join(preds, labels, "sale_id", "ts", "label_ts")
+    out = S.delayed_performance_by_window(joined, "ts", MONTH)
+    return out.select("window_start", "n_pairs", F.round("log_rmse", 6).alias("log_rmse"),
+                      F.round("dollar_mae", 2).alias("dollar_mae"))
+
+
+# ---------------------------------------------------------------- T5 (batch twin)
+def _t5_sql() -> str:
+    ref_where = f"sold_year < {REFERENCE_CUTOFF_YEAR}"
+    cur = " UNION ALL ".join(
+        f"SELECT CAST(floor(epoch(o.o_orderdate) / {YEAR}) * {YEAR} AS BIGINT) AS window_start, '{f}' AS feature, "
+        f"CAST(s.{f} AS DOUBLE) AS x FROM sales s JOIN orders o ON o.o_orderkey = s.sale_id "
+        f"WHERE s.sold_year >= {REFERENCE_CUTOFF_YEAR}" for f in SALES_NUMERIC)
+    return with_sales(
+        """
+SELECT w.window_start, w.feature,
+       round(sum((greatest(coalesce(c.s, 0.0), 1e-6) - greatest(coalesce(w.r, 0.0), 1e-6))
+                 * ln(greatest(coalesce(c.s, 0.0), 1e-6) / greatest(coalesce(w.r, 0.0), 1e-6))), 6) AS psi
+FROM (SELECT k.window_start, r.feature, r.bin, r.r FROM (SELECT DISTINCT window_start, feature FROM cur_bins) k
+      JOIN ref_share r ON r.feature = k.feature) w
+FULL OUTER JOIN cur_share c ON c.window_start = w.window_start AND c.feature = w.feature AND c.bin = w.bin
+GROUP BY 1, 2
+""".replace("SELECT w.window_start, w.feature,", "SELECT coalesce(w.window_start, c.window_start) AS window_start, "
+            "coalesce(w.feature, c.feature) AS feature,"),
+        f"ref_long AS ({long_sql('sales', SALES_NUMERIC, ref_where)})",
+        f"cur_long AS ({cur})",
+        psi_sql("ref_long", "ref_long", SALES_NUMERIC, prefix="r_").strip(),
+        """cur_bins AS (SELECT c.window_start, c.feature, len(list_filter(e.inner_edges, lambda t: t <= c.x)) AS bin, count(*) AS n
+            FROM cur_long c JOIN r_edges2 e ON e.feature = c.feature WHERE c.x IS NOT NULL AND e.inner_edges IS NOT NULL
+            GROUP BY 1, 2, 3)""",
+        "cur_share AS (SELECT window_start, feature, bin, n / sum(n) OVER (PARTITION BY window_start, feature) AS s FROM cur_bins)",
+        "ref_share AS (SELECT feature, bin, s AS r FROM r_ref_sh)",
+    )
+
+
+@register("windowed_drift", _t5_sql())
+def windowed_drift(spark, sf_dir):
+    s = sales_table(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sale_id"), F.col("o_orderdate").alias("ts"))
+    ref = drift.numeric_long(s.where(F.col("sold_year") < REFERENCE_CUTOFF_YEAR), SALES_NUMERIC)
+    edges = drift.fit_edges(ref, 10, "refine")
+    cur = s.where(F.col("sold_year") >= REFERENCE_CUTOFF_YEAR).join(orders, "sale_id")
+    cur_long = cur.select("ts", *[F.col(f).cast("double").alias(f) for f in SALES_NUMERIC]).unpivot(
+        ["ts"], list(SALES_NUMERIC), "feature", "x")
+    counts = S.windowed_bin_counts(cur_long, edges, "ts", YEAR)
+    ref_counts = ref.where(F.col("x").isNotNull()).join(F.broadcast(edges.select("feature", "inner_edges")), "feature") \
+        .where(F.col("inner_edges").isNotNull()) \
+        .select("feature", F.size(F.filter("inner_edges", lambda e: e <= F.col("x"))).alias("bin")) \
+        .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    out = S.psi_from_counts(counts, ref_counts)
+    return out.select("window_start", "feature", F.round("psi", 6).alias("psi"))
+
+
+# ---------------------------------------------------------------- real streams
+@register("stream_request_counters")
+def stream_request_counters(spark, sf_dir):
+    """T2 as a stream: watermark 1 hour, daily windows, append mode; windows
+    still open at the end of the input stay in state (not emitted)."""
+    checkpoint_root(spark)
+    schema = table(spark, sf_dir, "events").schema
+    src = spark.readStream.schema(schema).parquet(S.file_glob(f"{sf_dir}/events.parquet"))
+    src = src.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
+    agg = S.request_counters(src, window_seconds=DAY)
+    out = scratch_path(spark, "t2-out")
+    S.run_available(agg, out, scratch_path(spark, "t2-ckpt"))
+    return spark.read.parquet(out)
+
+
+@register("stream_delayed_labels")
+def stream_delayed_labels(spark, sf_dir):
+    """T4 as a stream-stream join (both inputs written once as file streams)."""
+    checkpoint_root(spark)
+    ev = sale_events(spark, sf_dir)
+    pred_dir, lab_dir = scratch_path(spark, "t4-pred"), scratch_path(spark, "t4-lab")
+    ev.select("sale_id", "ts", "predicted_price").write.parquet(pred_dir)
+    ev.select("sale_id", "label_ts", "actual_price").where(F.col("label_ts").isNotNull()).write.parquet(lab_dir)
+    preds = spark.readStream.schema("sale_id long, ts timestamp_ntz, predicted_price double").parquet(pred_dir)
+    labels = spark.readStream.schema("sale_id long, label_ts timestamp_ntz, actual_price double").parquet(lab_dir)
+    joined = S.delayed_label_join(preds, labels, "sale_id", "ts", "label_ts")
+    out = scratch_path(spark, "t4-out")
+    S.run_available(joined, out, scratch_path(spark, "t4-ckpt"))
+    return S.delayed_performance_by_window(spark.read.parquet(out), "ts", MONTH)
+
+
+@register("stream_scoring")
+def stream_scoring(spark, sf_dir):
+    """Holdout rows as JSON request documents -> validated, scored stream."""
+    from valuora.plans import closed_form as CF
+    from valuora.plans import comparison as C
+
+    checkpoint_root(spark)
+    trained = CF.train_and_evaluate(sales_table(spark, sf_dir), "sale_price", "sold_year", HOLDOUT_YEAR,
+                                    VALIDATION_YEARS, method="refine")
+    req_dir = scratch_path(spark, "t1-req")
+    hold = sales_table(spark, sf_dir).where(F.col("sold_year") == HOLDOUT_YEAR)
+    hold.select(F.to_json(F.struct(*[F.col(s.name) for s in K.SALES_CONTRACT]))).write.text(req_dir)
+    schema = K.contract_schema(K.SALES_CONTRACT)
+
+    def predict(valid):
+        return C.predict_with(valid, trained.params, CF.UNIVARIATE).withColumnRenamed("prediction", "log_prediction")
+
+    stream = S.scoring_stream(spark, req_dir, schema, K.SALES_CONTRACT, K.SALES_RULES, predict, trained.calibration,
+                              "closed-form-1")
+    out = scratch_path(spark, "t1-out")
+    S.run_available(stream, out, scratch_path(spark, "t1-ckpt"), partition_by=["route"])
+    return spark.read.parquet(out)

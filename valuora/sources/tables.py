@@ -182,3 +182,31 @@ scored AS (
          CAST(31000.0 + 14800.0 * coalesce(rooms, 0) + 395.0 * coalesce(living_area, 0.0) AS DOUBLE) AS predicted_price
   FROM sales
 )"""
+
+
+def sale_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales as timed events: the prediction is made at the order date, the
+    label (the realised price) arrives when the order's last line ships."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.max("l_shipdate").alias("label_ts"), F.count(F.lit(1)).alias("rooms"), F.sum("l_quantity").alias("living_area"))
+    ev = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    return ev.select(
+        F.col("o_orderkey").alias("sale_id"),
+        F.col("o_orderdate").alias("ts"),
+        "label_ts",
+        predicted_price_expr(F.col("rooms"), F.col("living_area")).alias("predicted_price"),
+        sale_price_expr(F.col("o_orderkey"), F.col("rooms"), F.col("living_area")).alias("actual_price"),
+    )
+
+
+EVENTS_SQL = """
+sale_ev AS (
+  SELECT o.o_orderkey AS sale_id, o.o_orderdate AS ts, l.label_ts,
+         CAST(31000.0 + 14800.0 * coalesce(l.rooms, 0) + 395.0 * coalesce(l.living_area, 0.0) AS DOUBLE) AS predicted_price,
+         CAST(30000 + 15000 * coalesce(l.rooms, 0) + 400 * coalesce(l.living_area, 0.0)
+              + ((o.o_orderkey * 7919) % 30011 - 15005) AS DOUBLE) AS actual_price
+  FROM orders o
+  LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS label_ts, count(*) AS rooms, sum(l_quantity) AS living_area
+             FROM lineitem GROUP BY l_orderkey) l ON l.l_orderkey = o.o_orderkey
+)"""
