@@ -117,7 +117,7 @@ def strict_json_lines(df: DataFrame) -> DataFrame:
     """One strict JSON document per row with keys in sorted order."""
     safe = json_safe(df)
     ordered = safe.select(*sorted(safe.columns))
-    return ordered.select(F.to_json(F.struct(*ordered.columns)).alias("json"))
+    return ordered.select(F.to_json(F.struct(*ordered.columns), {"ignoreNullFields": "false"}).alias("json"))
 
 
 def write_strict_json(df: DataFrame, path: str) -> None:
