@@ -151,3 +151,11 @@ def seeded_unit_hash(key: str | Column, seed: int) -> Column:
 def seeded_hash_sql(key_sql: str, seed: int) -> str:
     """DuckDB twin of :func:`seeded_unit_hash`."""
     return f"CAST(('0x' || substr(md5('{seed}:' || CAST({key_sql} AS VARCHAR)), 1, 8)) AS BIGINT)"
+
+
+def safe_corr(x: Column, y: Column) -> Column:
+    """Pearson correlation as an aggregate that yields NULL (not an ANSI
+    divide-by-zero error) when either side is constant."""
+    xm = F.when(y.isNotNull(), x)  # pairwise deletion for every moment
+    ym = F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuora.functions.columns import seeded_unit_hash
+from valuora.functions.columns import safe_corr, seeded_unit_hash
 from valuora.operators.quantiles import grouped_quantiles
 
 
@@ -60,7 +60,7 @@ def skewness_table(df: DataFrame, columns: Sequence[str], threshold: float = 0.7
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Pearson correlation of each column with the target (pairwise deletion)."""
     cols = [c for c in columns if c != target]
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols])
+    wide = df.agg(*[safe_corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols])
     return wide.unpivot([], cols, "feature", "corr")
 
 
@@ -72,7 +72,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for b in cols[i:]:
             name = f"{a}__{b}"
             names.append((a, b, name))
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(name))
+            aggs.append(safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(name))
     row = df.agg(*aggs)
     long = row.unpivot([], [n for _, _, n in names], "pair", "corr")
     spark = df.sparkSession
