@@ -41,7 +41,7 @@ def _feature_spine(spark: SparkSession, features: Sequence[str]) -> DataFrame:
 
 
 def psi_edges(
-    reference_long: DataFrame, bins: int = 10, method: str = "exact", accuracy: int = 100_000
+    reference_long: DataFrame, bins: int = 10, method: str = "exact", accuracy: int = 1_000_000
 ) -> DataFrame:
     """Per-feature decile edges of the reference, de-duplicated and sorted.
 
@@ -233,6 +233,7 @@ def drift_report(
     predicted: str = "predicted_price",
     bins: int = 10,
     method: str = "exact",
+    materialize_inputs: bool = True,
 ) -> DataFrame:
     """The whole report as long rows ``(section, feature, metric, value)``.
 
@@ -241,6 +242,12 @@ def drift_report(
     ``range_violations`` (violation_rate), and when the columns exist
     ``delayed_label_performance`` and ``prediction_shift``.
     """
+    if materialize_inputs:
+        from valuora.session import materialize
+
+        # Every section re-reads both inputs: derive them once.
+        reference = materialize(reference, "drift-reference")
+        current = materialize(current, "drift-current")
     num = numeric_section(reference, current, numeric, bins, method)
     parts = [
         num.unpivot(["feature"], ["psi", "reference_missing_rate", "current_missing_rate"], "metric", "value")

@@ -33,7 +33,7 @@ def grouped_quantiles(
     value: str,
     probs: Sequence[float],
     method: str = "exact",
-    accuracy: int = 100_000,
+    accuracy: int = 1_000_000,
 ) -> DataFrame:
     """Quantiles of ``value`` per group; nulls are ignored; empty groups are absent."""
     probs = [float(p) for p in probs]
@@ -58,19 +58,24 @@ def _refined(src: DataFrame, groups: list[str], probs: list[float], accuracy: in
     keyed = src if groups else src.withColumn("__g", F.lit(0))
     gcols = groups or ["__g"]
 
-    # Pass 1: count and a sketch per group; the bracket [L_j, U_j] must contain
-    # the order statistics floor(p_j (n-1)) and ceil(p_j (n-1)).
-    sketch = keyed.groupBy(*gcols).agg(
+    # Pass 0: group sizes (partial aggregation, tiny output).  Groups below
+    # ``accuracy`` rows are bounded and take the exact percentile; when there
+    # is no larger group at all, that is the whole plan (one shuffle).
+    sizes = keyed.groupBy(*gcols).agg(F.count(F.lit(1)).alias("__n"))
+    if sizes.where(F.col("__n") >= accuracy).limit(1).count() == 0:
+        exact = keyed.groupBy(*gcols).agg(F.percentile("__x", probs).alias("q"))
+        return exact.drop("__g") if not groups else exact
+    sized = keyed.join(sizes, gcols)
+    small = sized.where(F.col("__n") < accuracy).groupBy(*gcols).agg(F.percentile("__x", probs).alias("q"))
+    big = sized.where(F.col("__n") >= accuracy).drop("__n")
+
+    # Pass 1 (large groups only): one sketch per group brackets the order
+    # statistics floor(p (n-1)) and ceil(p (n-1)) between L_j and U_j.
+    sketch = big.groupBy(*gcols).agg(
         F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__x", lo_p, accuracy).cast("array<double>").alias("__lo"),
-        F.percentile_approx("__x", hi_p, accuracy).cast("array<double>").alias("__hi"),
-    )
-    joined = keyed.join(sketch, gcols)
-    # Groups smaller than ``accuracy`` rows are bounded: exact percentile.
-    # (The sketch's rank guarantee only brackets the order statistics when
-    # n >= accuracy, which is exactly where the value map would be unbounded.)
-    small = joined.where(F.col("__n") < accuracy).groupBy(*gcols).agg(F.percentile("__x", probs).alias("q"))
-    joined = joined.where(F.col("__n") >= accuracy)
+        F.percentile_approx("__x", lo_p + hi_p, accuracy).cast("array<double>").alias("__lohi"),
+    ).select(*gcols, "__n", F.slice("__lohi", 1, k).alias("__lo"), F.slice("__lohi", k + 1, k).alias("__hi"))
+    joined = big.join(sketch, gcols)
     # Pass 2: rows strictly below each lower bracket, and the rows inside.
     below = joined.groupBy(*gcols).agg(
         *[F.sum((F.col("__x") < F.col("__lo")[j]).cast("long")).alias(f"__b{j}") for j in range(k)]

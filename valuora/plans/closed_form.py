@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuora.operators.splits import temporal_split
-from valuora.session import checkpoint_root
+from valuora.session import checkpoint_root, materialize
 from valuora.plans import comparison as C
 from valuora.plans import production as P
 
@@ -49,7 +49,7 @@ def train_and_evaluate(
     # Every later step (folds, fits, calibration, refit, holdout) re-reads the
     # input; cut the lineage once into the shared checkpoint folder so the
     # joins that derive it run once and lost executors re-read files instead.
-    sales = sales.checkpoint(eager=True)
+    sales = materialize(sales, "closed-form-input")
     split = temporal_split(sales, year, holdout_year)
     dev = split.where(F.col("split") == "development").drop("split").withColumn("label", F.log1p(F.col(target)))
     hold = split.where(F.col("split") == "holdout").drop("split")

@@ -87,3 +87,16 @@ def env_cpus(default: int = 8) -> int:
         return int(os.environ.get("BENCH_CPUS", default))
     except ValueError:
         return default
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet below the checkpoint root and read it back.
+
+    Used for inputs that many later jobs read: the upstream joins run once,
+    the lineage is cut (a lost executor re-reads files instead of recomputing
+    the joins), and later scans are columnar with pruning and pushdown.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
