@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from valuora.catalog import register
 from valuora.functions.columns import seeded_hash_sql
 from valuora.operators import encoders as E
-from valuora.sources.tables import HOLDOUT_YEAR, SEED, sales_table, with_sales
+from valuora.sources.tables import sales_source, HOLDOUT_YEAR, SEED, sales_table, with_sales
 
 DEV = f"dev AS (SELECT *, ln(1 + sale_price) AS label FROM sales WHERE sold_year < {HOLDOUT_YEAR})"
 HOLD = f"hold AS (SELECT * FROM sales WHERE sold_year = {HOLDOUT_YEAR})"
@@ -17,7 +17,7 @@ IMPUTE_COLS = ["acctbal", "living_area", "basement_area", "rooms", "frontage"]
 
 
 def _parts(spark, sf_dir):
-    s = sales_table(spark, sf_dir).withColumn("label", F.log1p("sale_price"))
+    s = sales_source(spark, sf_dir).withColumn("label", F.log1p("sale_price"))
     return s.where(F.col("sold_year") < HOLDOUT_YEAR), s.where(F.col("sold_year") == HOLDOUT_YEAR)
 
 

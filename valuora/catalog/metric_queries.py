@@ -10,14 +10,14 @@ from valuora.functions.columns import seeded_hash_sql
 from valuora.operators import metrics as M
 from valuora.operators import selection as G
 from valuora.operators.splits import kfold
-from valuora.sources.tables import SCORED_SQL, SEED, sales_table, scored_sales, with_sales
+from valuora.sources.tables import sales_source, SCORED_SQL, SEED, sales_table, scored_sales, with_sales
 
 N_FEATURES = 2
 H = seeded_hash_sql("sale_id", SEED)
 
 
 def _scored_logs(spark, sf_dir):
-    s = scored_sales(sales_table(spark, sf_dir))
+    s = scored_sales(sales_source(spark, sf_dir))
     return s.withColumn("y_log", F.log1p("actual_price")).withColumn("p_log", F.log1p("predicted_price"))
 
 
@@ -119,7 +119,7 @@ UNION ALL SELECT 'mutual_info', feature, round(score, 6) FROM mi_s
 UNION ALL SELECT 'attribution', feature, round(score, 4) FROM att_s
 """, *_signals_sql()))
 def signal_scores(spark, sf_dir):
-    s = sales_table(spark, sf_dir)
+    s = sales_source(spark, sf_dir)
     corr = G.correlation_scores(s, SIGNAL_FEATURES, "sale_price").select(F.lit("correlation").alias("method"), "feature", F.round("score", 6).alias("score"))
     mi = G.mutual_information_scores(s, SIGNAL_FEATURES, "sale_price", 10, "refine").select(
         F.lit("mutual_info").alias("method"), "feature", F.round("score", 6).alias("score"))
@@ -137,7 +137,7 @@ FROM {_spine()} LEFT JOIN keep k ON k.feature = u.feature
 GROUP BY u.feature
 """, *_signals_sql()))
 def consensus_votes(spark, sf_dir):
-    s = sales_table(spark, sf_dir)
+    s = sales_source(spark, sf_dir)
     keep = (
         G.top_k(G.correlation_scores(s, SIGNAL_FEATURES, "sale_price"), TOP_K, "correlation")
         .unionByName(G.top_k(G.mutual_information_scores(s, SIGNAL_FEATURES, "sale_price", 10, "refine"), TOP_K, "mutual_info"))

@@ -15,14 +15,14 @@ from valuora.functions.columns import CLIPPED_NOTICE, CPI_NOTE, CPI_REFERENCE_YE
 from valuora.operators.metrics import error_by_group, error_by_quantile_band
 from valuora.plans import closed_form as CF
 from valuora.plans import production as P
-from valuora.sources.tables import HOLDOUT_YEAR, VALIDATION_YEARS, sales_table, with_sales
+from valuora.sources.tables import sales_source, HOLDOUT_YEAR, VALIDATION_YEARS, sales_table, with_sales
 
 METHOD = "refine"
 MODEL_VERSION = "closed-form-1"
 
 
 def _trained(spark, sf_dir, target):
-    return CF.train_and_evaluate(sales_table(spark, sf_dir), target, "sold_year", HOLDOUT_YEAR, VALIDATION_YEARS,
+    return CF.train_and_evaluate(sales_source(spark, sf_dir), target, "sold_year", HOLDOUT_YEAR, VALIDATION_YEARS,
                                  method=METHOD)
 
 

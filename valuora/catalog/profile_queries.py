@@ -11,6 +11,7 @@ from valuora.operators import profile as A
 from valuora.operators.drift import missing_rates
 from valuora.operators.quantiles import grouped_quantiles
 from valuora.sources.tables import (
+    sales_source,
     SALES_CATEGORICAL,
     SALES_INFORMATIVE_NULL,
     SALES_NUMERIC,
@@ -35,7 +36,7 @@ def r(col, d=6):
     """SELECT neighborhood, round(median(frontage), 6) AS median_frontage,
     round((SELECT median(frontage) FROM sales), 6) AS global_median FROM sales GROUP BY neighborhood"""))
 def group_medians(spark, sf_dir):
-    per, overall = A.group_medians(sales_table(spark, sf_dir), "neighborhood", "frontage", METHOD)
+    per, overall = A.group_medians(sales_source(spark, sf_dir), "neighborhood", "frontage", METHOD)
     return per.crossJoin(overall.withColumnRenamed("median", "global_median")).select(
         "neighborhood", F.round("median", 6).alias("median_frontage"), r("global_median"))
 
@@ -48,7 +49,7 @@ def _missing_sql():
 
 @register("missing_rates", _missing_sql())
 def missing_rates_query(spark, sf_dir):
-    return missing_rates(sales_table(spark, sf_dir), ALL_COLUMNS).select("feature", r("missing_rate"))
+    return missing_rates(sales_source(spark, sf_dir), ALL_COLUMNS).select("feature", r("missing_rate"))
 
 
 def _missingness_sql():
@@ -63,7 +64,7 @@ def _missingness_sql():
 
 @register("missingness_table", _missingness_sql())
 def missingness_table(spark, sf_dir):
-    return A.missingness_table(sales_table(spark, sf_dir), SALES_INFORMATIVE_NULL, ALL_COLUMNS)
+    return A.missingness_table(sales_source(spark, sf_dir), SALES_INFORMATIVE_NULL, ALL_COLUMNS)
 
 
 SKEW_THRESHOLD = 0.5
@@ -78,7 +79,7 @@ def _skew_sql():
 
 @register("skewness", _skew_sql())
 def skewness(spark, sf_dir):
-    return A.skewness_table(sales_table(spark, sf_dir), PROFILE_NUMERIC, SKEW_THRESHOLD).select("feature", r("skew"))
+    return A.skewness_table(sales_source(spark, sf_dir), PROFILE_NUMERIC, SKEW_THRESHOLD).select("feature", r("skew"))
 
 
 def _corr_sql():
@@ -89,7 +90,7 @@ def _corr_sql():
 
 @register("target_correlations", _corr_sql())
 def target_correlations(spark, sf_dir):
-    out = A.target_correlations(sales_table(spark, sf_dir), PROFILE_NUMERIC, "sale_price")
+    out = A.target_correlations(sales_source(spark, sf_dir), PROFILE_NUMERIC, "sale_price")
     return out.select("feature", r("corr"), F.round(F.abs("corr"), 6).alias("abs_corr"))
 
 
@@ -102,7 +103,7 @@ TOP_N = 3
         {' UNION ALL '.join(f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), sale_price) AS corr FROM sales" for c in PROFILE_NUMERIC if c != 'sale_price')}
       ) t ORDER BY abs(corr) DESC, feature LIMIT {TOP_N}) u"""))
 def top_correlated_features(spark, sf_dir):
-    out = A.target_correlations(sales_table(spark, sf_dir), PROFILE_NUMERIC, "sale_price")
+    out = A.target_correlations(sales_source(spark, sf_dir), PROFILE_NUMERIC, "sale_price")
     return out.select("feature", F.abs("corr").alias("abs_corr")).orderBy(F.desc("abs_corr"), "feature") \
         .limit(TOP_N).select("feature", r("abs_corr"))
 
@@ -120,7 +121,7 @@ def _matrix_sql():
 
 @register("correlation_matrix", _matrix_sql())
 def correlation_matrix(spark, sf_dir):
-    return A.correlation_pairs(sales_table(spark, sf_dir), MATRIX).select("a", "b", r("corr"))
+    return A.correlation_pairs(sales_source(spark, sf_dir), MATRIX).select("a", "b", r("corr"))
 
 
 QPROBS = [0.001, 0.05, 0.25, 0.5, 0.75, 0.95, 0.999]
@@ -131,7 +132,7 @@ QPROBS = [0.001, 0.05, 0.25, 0.5, 0.75, 0.95, 0.999]
       SELECT zoning, quantile_cont(sale_price, {QPROBS}) AS q FROM sales GROUP BY zoning) t,
       (SELECT unnest(range(1, {len(QPROBS) + 1})) AS i, unnest({QPROBS}) AS prob) p"""))
 def price_quantiles(spark, sf_dir):
-    q = grouped_quantiles(sales_table(spark, sf_dir), ["zoning"], "sale_price", QPROBS, METHOD)
+    q = grouped_quantiles(sales_source(spark, sf_dir), ["zoning"], "sale_price", QPROBS, METHOD)
     probs = F.array(*[F.lit(p) for p in QPROBS])
     return q.select("zoning", F.posexplode("q").alias("i", "v")).select(
         "zoning", F.element_at(probs, F.col("i") + 1).alias("prob"), F.round("v", 1).alias("quantile"))
@@ -150,7 +151,7 @@ def _mode_sql():
 
 @register("category_modes", _mode_sql())
 def category_modes(spark, sf_dir):
-    m = A.modes(sales_table(spark, sf_dir), [*MODE_COLS, "rooms"])
+    m = A.modes(sales_source(spark, sf_dir), [*MODE_COLS, "rooms"])
     cols = [*MODE_COLS, "rooms"]
     return m.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "feature", "mode")
 
@@ -163,7 +164,7 @@ def _distinct_sql():
 
 @register("distinct_and_min", _distinct_sql())
 def distinct_and_min(spark, sf_dir):
-    return A.distinct_and_min(sales_table(spark, sf_dir), PROFILE_NUMERIC)
+    return A.distinct_and_min(sales_source(spark, sf_dir), PROFILE_NUMERIC)
 
 
 HIST_BINS = 20
@@ -187,7 +188,7 @@ HIST_SPECS = (("sale_price", "sale_price", False), ("log1p_sale_price", "sale_pr
 @register("histograms", with_sales(" UNION ALL ".join(
     _hist_sql(f"ln(1 + {src})" if lg else f"CAST({src} AS DOUBLE)", name) for name, src, lg in HIST_SPECS)))
 def histograms(spark, sf_dir):
-    s = sales_table(spark, sf_dir)
+    s = sales_source(spark, sf_dir)
     out = None
     for name, src, lg in HIST_SPECS:
         h = A.histogram(s, src, HIST_BINS, log1p=lg).select(
@@ -206,7 +207,7 @@ def histograms(spark, sf_dir):
     JOIN sales s ON s.neighborhood = b.neighborhood
     GROUP BY b.neighborhood, q1, median, q3"""))
 def group_boxplot(spark, sf_dir):
-    b = A.box_stats(sales_table(spark, sf_dir), "neighborhood", "sale_price", METHOD)
+    b = A.box_stats(sales_source(spark, sf_dir), "neighborhood", "sale_price", METHOD)
     return b.select("neighborhood", *[r(c, 2) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")], "n")
 
 
@@ -218,7 +219,7 @@ def group_boxplot(spark, sf_dir):
                           FROM (SELECT list_sort(list_distinct(quantile_cont(predicted_price, {probs_sql(10)}))) AS u FROM scored) q) e) t
     GROUP BY bin""", SCORED_SQL))
 def calibration_bins(spark, sf_dir):
-    c = A.calibration_bins(scored_sales(sales_table(spark, sf_dir)), "actual_price", "predicted_price", 10, METHOD)
+    c = A.calibration_bins(scored_sales(sales_source(spark, sf_dir)), "actual_price", "predicted_price", 10, METHOD)
     return c.select("bin", "n", r("actual_mean", 2), r("predicted_mean", 2), r("residual_mean", 2))
 
 
@@ -228,9 +229,9 @@ SAMPLE_FRACTION = 0.05
 @register("scatter_sample", with_sales(
     f"SELECT sale_id, living_area, sale_price FROM sales WHERE {seeded_hash_sql('sale_id', SEED)} < {int(round(SAMPLE_FRACTION * 2**32))}"))
 def scatter_sample(spark, sf_dir):
-    return A.scatter_sample(sales_table(spark, sf_dir), "sale_id", ["living_area", "sale_price"], SAMPLE_FRACTION, SEED)
+    return A.scatter_sample(sales_source(spark, sf_dir), "sale_id", ["living_area", "sale_price"], SAMPLE_FRACTION, SEED)
 
 
 @register("distinct_years", with_sales("SELECT DISTINCT sold_year FROM sales"))
 def distinct_years(spark, sf_dir):
-    return sales_table(spark, sf_dir).select("sold_year").distinct()
+    return sales_source(spark, sf_dir).select("sold_year").distinct()

@@ -9,7 +9,7 @@ from valuora.catalog.sqlgen import probs_sql
 from valuora.functions.columns import seeded_hash_sql
 from valuora.operators import splits as D
 from valuora.operators.joins import null_safe_intersection
-from valuora.sources.tables import HOLDOUT_YEAR, SEED, VALIDATION_YEARS, sales_table, with_sales
+from valuora.sources.tables import sales_source, HOLDOUT_YEAR, SEED, VALIDATION_YEARS, sales_table, with_sales
 
 KFOLDS = 5
 INNER_TEST = 0.25
@@ -21,7 +21,7 @@ H = seeded_hash_sql("sale_id", SEED)
     f"""SELECT CASE WHEN sold_year < {HOLDOUT_YEAR} THEN 'development' ELSE 'holdout' END AS split,
     count(*) AS n_rows, min(sold_year) AS min_year, max(sold_year) AS max_year FROM sales GROUP BY 1"""))
 def temporal_split(spark, sf_dir):
-    tagged = D.temporal_split(sales_table(spark, sf_dir), "sold_year", HOLDOUT_YEAR)
+    tagged = D.temporal_split(sales_source(spark, sf_dir), "sold_year", HOLDOUT_YEAR)
     return tagged.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("sold_year").alias("min_year"), F.max("sold_year").alias("max_year")
     )
@@ -36,7 +36,7 @@ _YEARS = ", ".join(f"({y})" for y in VALIDATION_YEARS)
     FROM sales s JOIN (VALUES {_YEARS}) AS v(validation_year) ON s.sold_year <= v.validation_year
     GROUP BY 1, 2"""))
 def expanding_folds(spark, sf_dir):
-    s = sales_table(spark, sf_dir).where(F.col("sold_year") < HOLDOUT_YEAR)
+    s = sales_source(spark, sf_dir).where(F.col("sold_year") < HOLDOUT_YEAR)
     tagged = D.expanding_folds(s, "sold_year", VALIDATION_YEARS, check=False)
     return tagged.groupBy("validation_year", "role").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("sold_year").alias("min_year"), F.max("sold_year").alias("max_year")
@@ -61,7 +61,7 @@ FROM (
 
 @register("stratified_split", _STRAT_SQL)
 def stratified_split(spark, sf_dir):
-    out = D.stratified_split(sales_table(spark, sf_dir), "sale_id", "sale_price", 0.2, SEED, bins=10,
+    out = D.stratified_split(sales_source(spark, sf_dir), "sale_id", "sale_price", 0.2, SEED, bins=10,
                              quantile_method="refine", hash_buckets=64)
     return out.select("sale_id", "split")
 
@@ -69,7 +69,7 @@ def stratified_split(spark, sf_dir):
 @register("split_disjointness", with_sales(
     f"""SELECT 0 AS n_overlap, count(*) AS n_rows FROM sales"""))
 def split_disjointness(spark, sf_dir):
-    out = D.stratified_split(sales_table(spark, sf_dir), "sale_id", "sale_price", 0.2, SEED, bins=10,
+    out = D.stratified_split(sales_source(spark, sf_dir), "sale_id", "sale_price", 0.2, SEED, bins=10,
                              quantile_method="refine", hash_buckets=64)
     train = out.where(F.col("split") == "train").drop("split")
     hold = out.where(F.col("split") == "holdout").drop("split")
@@ -80,14 +80,14 @@ def split_disjointness(spark, sf_dir):
 
 @register("kfold_assignment", with_sales(f"SELECT sale_id, CAST({H} % {KFOLDS} AS INTEGER) AS fold FROM sales"))
 def kfold_assignment(spark, sf_dir):
-    return D.kfold(sales_table(spark, sf_dir), "sale_id", KFOLDS, SEED).select("sale_id", "fold")
+    return D.kfold(sales_source(spark, sf_dir), "sale_id", KFOLDS, SEED).select("sale_id", "fold")
 
 
 @register("inner_holdout_split", with_sales(
     f"""SELECT {H} < {int(round(INNER_TEST * 2**32))} AS is_test, count(*) AS n_rows, sum(sale_id) AS key_sum
     FROM sales GROUP BY 1"""))
 def inner_holdout_split(spark, sf_dir):
-    out = D.hash_fraction_split(sales_table(spark, sf_dir), "sale_id", INNER_TEST, SEED)
+    out = D.hash_fraction_split(sales_source(spark, sf_dir), "sale_id", INNER_TEST, SEED)
     return out.groupBy("is_test").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("sale_id").alias("key_sum"))
 
 
@@ -99,5 +99,5 @@ _FR = ", ".join(f"({f})" for f in FRACTIONS)
     FROM sales s JOIN (VALUES {_FR}) AS f(fraction) ON CAST({H} AS DOUBLE) < f.fraction * {float(2**32)}
     GROUP BY 1"""))
 def learning_curve_subsets(spark, sf_dir):
-    out = D.nested_prefixes(sales_table(spark, sf_dir), "sale_id", FRACTIONS, SEED)
+    out = D.nested_prefixes(sales_source(spark, sf_dir), "sale_id", FRACTIONS, SEED)
     return out.groupBy("fraction").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("sale_id").alias("key_sum"))

@@ -12,6 +12,7 @@ from valuora.functions import contract as K
 from valuora.operators import drift
 from valuora.session import checkpoint_root, scratch_path
 from valuora.sources.tables import (
+    sales_source,
     EVENTS_SQL,
     HOLDOUT_YEAR,
     REFERENCE_CUTOFF_YEAR,
@@ -113,7 +114,7 @@ GROUP BY 1, 2
 
 @register("windowed_drift", _t5_sql())
 def windowed_drift(spark, sf_dir):
-    s = sales_table(spark, sf_dir)
+    s = sales_source(spark, sf_dir)
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sale_id"), F.col("o_orderdate").alias("ts"))
     ref = drift.numeric_long(s.where(F.col("sold_year") < REFERENCE_CUTOFF_YEAR), SALES_NUMERIC)
     edges = drift.fit_edges(ref, 10, "refine")
@@ -167,10 +168,10 @@ def stream_scoring(spark, sf_dir):
     from valuora.plans import comparison as C
 
     checkpoint_root(spark)
-    trained = CF.train_and_evaluate(sales_table(spark, sf_dir), "sale_price", "sold_year", HOLDOUT_YEAR,
+    trained = CF.train_and_evaluate(sales_source(spark, sf_dir), "sale_price", "sold_year", HOLDOUT_YEAR,
                                     VALIDATION_YEARS, method="refine")
     req_dir = scratch_path(spark, "t1-req")
-    hold = sales_table(spark, sf_dir).where(F.col("sold_year") == HOLDOUT_YEAR)
+    hold = sales_source(spark, sf_dir).where(F.col("sold_year") == HOLDOUT_YEAR)
     hold.select(F.to_json(F.struct(*[F.col(s.name) for s in K.SALES_CONTRACT]))).write.text(req_dir)
     schema = K.contract_schema(K.SALES_CONTRACT)
 

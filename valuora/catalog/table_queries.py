@@ -10,7 +10,7 @@ from valuora.functions import contract as K
 from valuora.functions.columns import QUALITY_SCALE
 from valuora.operators import validate as V
 from valuora.sources import files, manifest
-from valuora.sources.tables import HOLDOUT_YEAR, sales_table, table, with_sales
+from valuora.sources.tables import sales_source, HOLDOUT_YEAR, sales_table, table, with_sales
 
 SALES_COLUMNS = (
     "sale_id, sold_year, neighborhood, zoning, building_type, grade, acctbal, living_area, basement_area, "
@@ -21,7 +21,7 @@ SALES_COLUMNS = (
 # ---------------------------------------------------------------- S1 (sales source)
 @register("sales_table", with_sales(f"SELECT {SALES_COLUMNS} FROM sales"))
 def sales_table_query(spark, sf_dir):
-    return sales_table(spark, sf_dir)
+    return sales_table(spark, sf_dir)  # derived from the raw tables every time
 
 
 # ---------------------------------------------------------------- P2 + P13 + F18
@@ -32,7 +32,7 @@ def _projection_sql() -> str:
 
 @register("contract_projection", _projection_sql())
 def contract_projection(spark, sf_dir):
-    cur = K.project(sales_table(spark, sf_dir), K.SALES_CONTRACT, target="sale_price")
+    cur = K.project(sales_source(spark, sf_dir), K.SALES_CONTRACT, target="sale_price")
     return V.with_log_label(cur, "sale_price").withColumn("label", F.round("label", 6))
 
 
@@ -69,7 +69,7 @@ FROM (SELECT sale_id, {_violation_sql_list()} AS v FROM sales) t
 
 @register("contract_violations", _VIOL_SQL)
 def contract_violations(spark, sf_dir):
-    checked = K.validate(sales_table(spark, sf_dir), K.SALES_CONTRACT, K.SALES_RULES)
+    checked = K.validate(sales_source(spark, sf_dir), K.SALES_CONTRACT, K.SALES_RULES)
     return checked.select(
         "sale_id", F.size("violations").alias("n_violations"), F.array_join("violations", "; ").alias("violations")
     )
@@ -86,7 +86,7 @@ FROM (SELECT {_violation_sql_list()} AS v FROM sales) t GROUP BY 1
 
 @register("contract_routing", _ROUTE_SQL)
 def contract_routing(spark, sf_dir):
-    valid, bad = K.route(K.validate(sales_table(spark, sf_dir), K.SALES_CONTRACT, K.SALES_RULES))
+    valid, bad = K.route(K.validate(sales_source(spark, sf_dir), K.SALES_CONTRACT, K.SALES_RULES))
     return valid.select(F.lit("valid").alias("route")).unionByName(
         bad.select(F.lit("quarantine").alias("route"))
     ).groupBy("route").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -100,7 +100,7 @@ OUTLIER_AREA, OUTLIER_PRICE = 200.0, 190000.0
     f"SELECT sold_year, count(*) AS n_rows FROM sales WHERE NOT coalesce(living_area > {OUTLIER_AREA} "
     f"AND sale_price < {OUTLIER_PRICE}, false) GROUP BY sold_year"))
 def outlier_filter(spark, sf_dir):
-    kept = V.drop_outliers(sales_table(spark, sf_dir), "living_area", "sale_price", OUTLIER_AREA, OUTLIER_PRICE)
+    kept = V.drop_outliers(sales_source(spark, sf_dir), "living_area", "sale_price", OUTLIER_AREA, OUTLIER_PRICE)
     return kept.groupBy("sold_year").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -108,7 +108,7 @@ def outlier_filter(spark, sf_dir):
     f"SELECT sale_id, living_area, grade, sale_price FROM sales WHERE living_area > {OUTLIER_AREA} "
     f"AND sale_price < {OUTLIER_PRICE}"))
 def outlier_listing(spark, sf_dir):
-    return V.outlier_rows(sales_table(spark, sf_dir), "living_area", "sale_price", OUTLIER_AREA, OUTLIER_PRICE,
+    return V.outlier_rows(sales_source(spark, sf_dir), "living_area", "sale_price", OUTLIER_AREA, OUTLIER_PRICE,
                           ["sale_id", "living_area", "grade", "sale_price"])
 
 
@@ -116,7 +116,7 @@ def outlier_listing(spark, sf_dir):
 @register("column_subset", with_sales(
     "SELECT sale_id, rooms, 0 AS ghost_feature, zoning FROM sales"))
 def column_subset(spark, sf_dir):
-    s = V.drop_columns(sales_table(spark, sf_dir), ["market_price", "not_a_column"])
+    s = V.drop_columns(sales_source(spark, sf_dir), ["market_price", "not_a_column"])
     return V.subset_zero_fill(s, ["sale_id", "rooms", "ghost_feature", "zoning"])
 
 
@@ -125,7 +125,7 @@ def column_subset(spark, sf_dir):
     "CASE WHEN living_area = floor(living_area) THEN CAST(CAST(living_area AS BIGINT) AS VARCHAR) "
     "ELSE CAST(living_area AS VARCHAR) END AS living_area FROM sales"))
 def codes_to_string(spark, sf_dir):
-    s = sales_table(spark, sf_dir).select("sale_id", "rooms", "living_area")
+    s = sales_source(spark, sf_dir).select("sale_id", "rooms", "living_area")
     return V.codes_to_string(s, ["rooms", "living_area", "absent_code"])
 
 
@@ -147,7 +147,7 @@ FROM (SELECT sale_id, grade, building_type, basement_area,
 
 @register("fill_and_ordinals", _FILL_SQL)
 def fill_and_ordinals(spark, sf_dir):
-    s = sales_table(spark, sf_dir).select(
+    s = sales_source(spark, sf_dir).select(
         "sale_id", "grade", "building_type", "basement_area",
         F.when(F.col("basement_area").isNotNull(), "Gd").alias("returns_seen"),
         F.when(F.col("frontage") >= 0.05, "high").when(F.col("frontage") < 0.05, "low").alias("discount_band"),
@@ -182,7 +182,7 @@ FROM (SELECT *, coalesce(list_position(['5-LOW', '4-NOT SPECIFIED', '3-MEDIUM',
 
 @register("engineered_features", _FE_SQL)
 def engineered_features(spark, sf_dir):
-    s = sales_table(spark, sf_dir).withColumn("grade_level", F.col("grade"))
+    s = sales_source(spark, sf_dir).withColumn("grade_level", F.col("grade"))
     s = V.map_ordinals(s, ["grade_level"], V.GRADE_SCALE)
     return V.engineer_sales(s).select("sale_id", *V.ENGINEERED)
 
@@ -200,7 +200,7 @@ FROM (SELECT zoning, sqrt(min(acctbal)) AS v, exp(max(acctbal)) AS w FROM sales
 
 @register("strict_json_values", _JSON_SQL)
 def strict_json_values(spark, sf_dir):
-    agg = sales_table(spark, sf_dir).groupBy("zoning").agg(
+    agg = sales_source(spark, sf_dir).groupBy("zoning").agg(
         F.sqrt(F.min("acctbal")).alias("root_balance"), F.exp(F.max("acctbal")).alias("growth")
     )
     return files.json_safe(agg)
@@ -240,5 +240,5 @@ FROM sales
 
 @register("dataset_manifest", _MANIFEST_SQL)
 def dataset_manifest(spark, sf_dir):
-    s = sales_table(spark, sf_dir)
+    s = sales_source(spark, sf_dir)
     return manifest.manifest(s, "sold_year", HOLDOUT_YEAR, ["sale_id", "neighborhood", "zoning", "sold_year"])
