@@ -183,3 +183,29 @@ def stream_scoring(spark, sf_dir):
     out = scratch_path(spark, "t1-out")
     S.run_available(stream, out, scratch_path(spark, "t1-ckpt"), partition_by=["route"])
     return spark.read.parquet(out)
+
+
+@register("stream_windowed_drift")
+def stream_windowed_drift(spark, sf_dir):
+    """T5 as a stream: current rows arrive as a file stream, are binned against
+    frozen reference edges (static broadcast table) and counted per yearly
+    event-time window with a watermark; PSI is then computed from the sink."""
+    checkpoint_root(spark)
+    s = sales_source(spark, sf_dir)
+    ref = drift.numeric_long(s.where(F.col("sold_year") < REFERENCE_CUTOFF_YEAR), SALES_NUMERIC)
+    edges = drift.fit_edges(ref, 10, "refine")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sale_id"), F.col("o_orderdate").alias("ts"))
+    cur_dir = scratch_path(spark, "t5-cur")
+    s.where(F.col("sold_year") >= REFERENCE_CUTOFF_YEAR).join(orders, "sale_id").select(
+        "ts", *[F.col(f).cast("double").alias(f) for f in SALES_NUMERIC]).write.parquet(cur_dir)
+    schema = "ts timestamp_ntz, " + ", ".join(f"{f} double" for f in SALES_NUMERIC)
+    stream = spark.readStream.schema(schema).parquet(cur_dir)
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "30 days")
+    long = stream.unpivot(["ts"], list(SALES_NUMERIC), "feature", "x")
+    out = scratch_path(spark, "t5-out")
+    S.run_available(S.windowed_bin_counts(long, edges, "ts", YEAR), out, scratch_path(spark, "t5-ckpt"))
+    ref_counts = ref.where(F.col("x").isNotNull()).join(F.broadcast(edges.select("feature", "inner_edges")), "feature") \
+        .where(F.col("inner_edges").isNotNull()) \
+        .select("feature", F.size(F.filter("inner_edges", lambda e: e <= F.col("x"))).alias("bin")) \
+        .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    return S.psi_from_counts(spark.read.parquet(out), ref_counts)

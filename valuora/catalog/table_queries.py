@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from valuora.catalog import register
 from valuora.functions import contract as K
-from valuora.functions.columns import QUALITY_SCALE
+from valuora.functions.columns import QUALITY_SCALE, seeded_hash_sql
 from valuora.operators import validate as V
 from valuora.sources import files, manifest
 from valuora.sources.tables import sales_source, HOLDOUT_YEAR, sales_table, table, with_sales
@@ -242,3 +242,41 @@ FROM sales
 def dataset_manifest(spark, sf_dir):
     s = sales_source(spark, sf_dir)
     return manifest.manifest(s, "sold_year", HOLDOUT_YEAR, ["sale_id", "neighborhood", "zoning", "sold_year"])
+
+
+# ---------------------------------------------------------------- S2 + S3 (CSV round trip)
+@register("csv_round_trip", with_sales(f"SELECT {SALES_COLUMNS} FROM sales"))
+def csv_round_trip(spark, sf_dir):
+    """Write the table as headed CSV, read it back by extension with the
+    table's schema (no inference), and return what was read."""
+    from valuora.session import scratch_path
+
+    src = sales_source(spark, sf_dir)
+    path = scratch_path(spark, "csv-round-trip") + ".csv"
+    src.write.mode("overwrite").option("header", True).csv(path)
+    return files.read_frame(spark, path, schema=src.schema)
+
+
+# ---------------------------------------------------------------- S5 (+ S3, D3)
+@register("saved_split_reload", with_sales("""
+SELECT sale_id, sale_price FROM (
+  SELECT sale_id, sale_price, row_number() OVER (PARTITION BY bin ORDER BY h, sale_id) AS rn, count(*) OVER (PARTITION BY bin) AS n
+  FROM (
+    SELECT s.sale_id, s.sale_price, """ + seeded_hash_sql("sale_id", 42) + """ AS h,
+           len(list_filter(e.inner_edges, lambda t: s.sale_price > t)) AS bin
+    FROM sales s, (SELECT CASE WHEN len(u) >= 3 THEN list_slice(u, 2, len(u) - 1) ELSE [] END AS inner_edges
+                   FROM (SELECT list_sort(list_distinct(quantile_cont(sale_price, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS u
+                         FROM sales) q) e) b) r
+WHERE rn <= floor(0.2 * n + 0.5)
+"""))
+def saved_split_reload(spark, sf_dir):
+    """Persist both partitions of the stratified split in one partitioned
+    write, then reload only the holdout (the filter prunes the directory)."""
+    from valuora.operators.splits import stratified_split
+    from valuora.session import scratch_path
+
+    out = stratified_split(sales_source(spark, sf_dir), "sale_id", "sale_price", 0.2, 42, quantile_method="refine",
+                           hash_buckets=64)
+    path = scratch_path(spark, "saved-split")
+    files.save_split(out.select("sale_id", "sale_price", "split"), path)
+    return files.load_split(spark, path, "holdout").select("sale_id", "sale_price")
