@@ -23,7 +23,7 @@ MODEL_VERSION = "closed-form-1"
 
 def _trained(spark, sf_dir, target):
     return CF.train_and_evaluate(sales_source(spark, sf_dir), target, "sold_year", HOLDOUT_YEAR, VALIDATION_YEARS,
-                                 method=METHOD)
+                                 method=METHOD, materialize_input=False)  # the source is materialised
 
 
 def _pipeline_sql(target: str) -> list[str]:

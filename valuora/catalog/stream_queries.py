@@ -169,7 +169,7 @@ def stream_scoring(spark, sf_dir):
 
     checkpoint_root(spark)
     trained = CF.train_and_evaluate(sales_source(spark, sf_dir), "sale_price", "sold_year", HOLDOUT_YEAR,
-                                    VALIDATION_YEARS, method="refine")
+                                    VALIDATION_YEARS, method="refine", materialize_input=False)
     req_dir = scratch_path(spark, "t1-req")
     hold = sales_source(spark, sf_dir).where(F.col("sold_year") == HOLDOUT_YEAR)
     hold.select(F.to_json(F.struct(*[F.col(s.name) for s in K.SALES_CONTRACT]))).write.text(req_dir)

@@ -44,12 +44,14 @@ def train_and_evaluate(
     validation_years: tuple[int, ...],
     key: str = "sale_id",
     method: str = "exact",
+    materialize_input: bool = True,
 ) -> TrainedClosedForm:
     checkpoint_root(sales.sparkSession)
     # Every later step (folds, fits, calibration, refit, holdout) re-reads the
     # input; cut the lineage once into the shared checkpoint folder so the
     # joins that derive it run once and lost executors re-read files instead.
-    sales = materialize(sales, "closed-form-input")
+    if materialize_input:
+        sales = materialize(sales, "closed-form-input")
     split = temporal_split(sales, year, holdout_year)
     dev = split.where(F.col("split") == "development").drop("split").withColumn("label", F.log1p(F.col(target)))
     hold = split.where(F.col("split") == "holdout").drop("split")
