@@ -114,7 +114,7 @@ def stratified_split(
     bins: int = 10,
     col: str = "split",
     quantile_method: str = "exact",
-    hash_buckets: int = 4096,
+    hash_buckets: int | None = None,
 ) -> DataFrame:
     """D3: per target-quantile bin, exactly ``round(test_size * n_bin)`` rows go
     to ``holdout``: the rows with the smallest ``(hash, key)`` in the bin.
@@ -133,6 +133,9 @@ def stratified_split(
     spark = df.sparkSession
     x = F.col(target).cast("double")
     bin_id = F.size(F.filter(F.array(*[F.lit(float(e)) for e in inner]), lambda e: x > e)) if inner else F.lit(0)
+    if hash_buckets is None:
+        # ~100k rows per bucket: the one straddling bucket per bin stays small.
+        hash_buckets = int(min(2**20, max(64, df.count() // 100_000)))
     h = seeded_unit_hash(key, seed)
     width = 2**32 // hash_buckets
     tagged = df.select("*", bin_id.alias("__bin"), h.alias("__h")).withColumn(
@@ -146,9 +149,13 @@ def stratified_split(
         "__bin", "__bucket", "__n", quota.alias("__quota"),
         (F.sum("__n").over(w_run) - F.col("__n")).alias("__before"),
     )
-    plan = plan.collect()  # bins x buckets rows: bounded by the parameters
-    plan_df = spark.createDataFrame(plan, "__bin int, __bucket long, __n long, __quota long, __before long")
-    joined = tagged.join(F.broadcast(plan_df), ["__bin", "__bucket"])
+    if bins * hash_buckets <= 65_536:
+        # bins x buckets rows, bounded by the parameters: collect and broadcast
+        plan_df = F.broadcast(spark.createDataFrame(
+            plan.collect(), "__bin int, __bucket long, __n long, __quota long, __before long"))
+    else:
+        plan_df = plan  # larger plans stay distributed (shuffle join, AQE decides)
+    joined = tagged.join(plan_df, ["__bin", "__bucket"])
     crossing = (F.col("__before") < F.col("__quota")) & (F.col("__before") + F.col("__n") > F.col("__quota"))
     # Whole buckets on either side of the quota line need no ranking.
     whole = joined.where(~crossing).withColumn(
