@@ -41,7 +41,7 @@ def _feature_spine(spark: SparkSession, features: Sequence[str]) -> DataFrame:
 
 
 def psi_edges(
-    reference_long: DataFrame, bins: int = 10, method: str = "exact", accuracy: int = 1_000_000
+    reference_long: DataFrame, bins: int = 10, method: str = "refine", accuracy: int = 1_000_000
 ) -> DataFrame:
     """Per-feature decile edges of the reference, de-duplicated and sorted.
 
@@ -65,7 +65,7 @@ def psi_edges(
     )
 
 
-def fit_edges(reference_long: DataFrame, bins: int = 10, method: str = "exact") -> DataFrame:
+def fit_edges(reference_long: DataFrame, bins: int = 10, method: str = "refine") -> DataFrame:
     """Fit the reference edges once and return them as a small local table.
 
     The fitted state has one row per feature (at most ``bins + 1`` values
@@ -93,7 +93,7 @@ def population_stability(
     current_long: DataFrame,
     features: Sequence[str],
     bins: int = 10,
-    method: str = "exact",
+    method: str = "refine",
 ) -> DataFrame:
     """PSI per feature from two ``(feature, x)`` tables.
 
@@ -137,7 +137,7 @@ def population_stability(
 
 
 def psi_columns(
-    reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10, method: str = "exact"
+    reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10, method: str = "refine"
 ) -> DataFrame:
     """R1 over wide tables: ``feature, psi``."""
     return population_stability(
@@ -160,7 +160,7 @@ def _is_numeric(df: DataFrame, name: str) -> bool:
 
 
 def numeric_section(
-    reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10, method: str = "exact"
+    reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10, method: str = "refine"
 ) -> DataFrame:
     """PSI and both missing rates per numeric feature."""
     psi = psi_columns(reference, current, features, bins, method)
@@ -215,7 +215,7 @@ def delayed_label_performance(scored: DataFrame, actual: str = "actual_price", p
     )
 
 
-def prediction_shift(reference: DataFrame, current: DataFrame, predicted: str = "predicted_price", method: str = "exact") -> DataFrame:
+def prediction_shift(reference: DataFrame, current: DataFrame, predicted: str = "predicted_price", method: str = "refine") -> DataFrame:
     """PSI of the predicted price plus both means."""
     psi = psi_columns(reference, current, [predicted], method=method)
     ref_mean = reference.agg(F.avg(predicted).alias("reference_mean"))
@@ -232,7 +232,7 @@ def drift_report(
     actual: str = "actual_price",
     predicted: str = "predicted_price",
     bins: int = 10,
-    method: str = "exact",
+    method: str = "refine",
     materialize_inputs: bool = True,
 ) -> DataFrame:
     """The whole report as long rows ``(section, feature, metric, value)``.

@@ -76,9 +76,9 @@ class GroupMedianImputerModel(Model, _HasCols, _HasState, DefaultParamsReadable,
 
 class GroupMedianImputer(Estimator, _HasCols, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
-    def __init__(self, inputCols: Sequence[str] | None = None, groupCol: str | None = None, method: str = "exact"):
+    def __init__(self, inputCols: Sequence[str] | None = None, groupCol: str | None = None, method: str = "refine"):
         super().__init__()
-        self._setDefault(method="exact")
+        self._setDefault(method="refine")
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> GroupMedianImputerModel:
@@ -113,9 +113,9 @@ class MedianImputer(Estimator, _HasCols, DefaultParamsReadable, DefaultParamsWri
     addIndicator = Param(Params._dummy(), "addIndicator", "add missing indicators", typeConverter=TypeConverters.toBoolean)
 
     @keyword_only
-    def __init__(self, inputCols: Sequence[str] | None = None, addIndicator: bool = False, method: str = "exact"):
+    def __init__(self, inputCols: Sequence[str] | None = None, addIndicator: bool = False, method: str = "refine"):
         super().__init__()
-        self._setDefault(addIndicator=False, method="exact")
+        self._setDefault(addIndicator=False, method="refine")
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> MedianImputerModel:

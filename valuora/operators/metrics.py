@@ -112,7 +112,7 @@ def error_by_group(scored: DataFrame, group: str, actual: str = "actual_price",
 
 
 def error_by_quantile_band(scored: DataFrame, actual: str = "actual_price", predicted: str = "predicted_price",
-                           q: int = 4, method: str = "exact") -> DataFrame:
+                           q: int = 4, method: str = "refine") -> DataFrame:
     """A3: quantile bands of the actual value (right-closed, first includes the
     minimum, duplicate edges dropped) with the A2 statistics."""
     edges = grouped_quantiles(scored, [], actual, [i / q for i in range(q + 1)], method).first()["q"]
@@ -130,7 +130,7 @@ def error_by_quantile_band(scored: DataFrame, actual: str = "actual_price", pred
 
 
 def residual_calibration(residuals: DataFrame, residual: str = "residual", low: float = 0.05, high: float = 0.95,
-                         method: str = "exact") -> DataFrame:
+                         method: str = "refine") -> DataFrame:
     """Smearing factor ``mean(exp(r))`` and residual quantiles."""
     q = grouped_quantiles(residuals, [], residual, [low, high], method)
     sm = residuals.agg(F.avg(F.exp(residual)).alias("smearing_factor"), F.count(F.lit(1)).alias("n_residuals"))
@@ -138,7 +138,7 @@ def residual_calibration(residuals: DataFrame, residual: str = "residual", low:
                                   F.col("q")[1].alias("residual_q_high"))
 
 
-def price_bounds(df: DataFrame, target: str, method: str = "exact") -> DataFrame:
+def price_bounds(df: DataFrame, target: str, method: str = "refine") -> DataFrame:
     """``max(0, q0.001 * 0.5)`` and ``q0.999 * 1.5`` of the target."""
     q = grouped_quantiles(df, [], target, [0.001, 0.999], method)
     return q.select(

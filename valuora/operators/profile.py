@@ -16,7 +16,7 @@ from valuora.functions.columns import safe_corr, seeded_unit_hash
 from valuora.operators.quantiles import grouped_quantiles
 
 
-def group_medians(df: DataFrame, group: str, value: str, method: str = "exact") -> tuple[DataFrame, DataFrame]:
+def group_medians(df: DataFrame, group: str, value: str, method: str = "refine") -> tuple[DataFrame, DataFrame]:
     """A1: per-group median and the global median (nulls skipped)."""
     per_group = grouped_quantiles(df, [group], value, [0.5], method).select(group, F.col("q")[0].alias("median"))
     overall = grouped_quantiles(df, [], value, [0.5], method).select(F.col("q")[0].alias("median"))
@@ -121,7 +121,7 @@ def histogram(df: DataFrame, value: str, bins: int = 30, log1p: bool = False) ->
     )
 
 
-def box_stats(df: DataFrame, group: str, value: str, method: str = "exact") -> DataFrame:
+def box_stats(df: DataFrame, group: str, value: str, method: str = "refine") -> DataFrame:
     """Per group q1, median, q3 and 1.5-IQR whiskers (ordered by median)."""
     q = grouped_quantiles(df, [group], value, [0.25, 0.5, 0.75], method).select(
         group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
@@ -137,7 +137,7 @@ def box_stats(df: DataFrame, group: str, value: str, method: str = "exact") -> D
     return q.join(whisk, group)
 
 
-def calibration_bins(df: DataFrame, actual: str, predicted: str, bins: int = 10, method: str = "exact") -> DataFrame:
+def calibration_bins(df: DataFrame, actual: str, predicted: str, bins: int = 10, method: str = "refine") -> DataFrame:
     """V4: prediction-decile bins with mean actual, mean predicted, mean residual."""
     probs = [i / bins for i in range(bins + 1)]
     q = grouped_quantiles(df, [], predicted, probs, method).first()["q"]

@@ -113,7 +113,7 @@ def stratified_split(
     seed: int,
     bins: int = 10,
     col: str = "split",
-    quantile_method: str = "exact",
+    quantile_method: str = "refine",
     hash_buckets: int | None = None,
 ) -> DataFrame:
     """D3: per target-quantile bin, exactly ``round(test_size * n_bin)`` rows go

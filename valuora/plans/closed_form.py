@@ -43,7 +43,7 @@ def train_and_evaluate(
     holdout_year: int,
     validation_years: tuple[int, ...],
     key: str = "sale_id",
-    method: str = "exact",
+    method: str = "refine",
     materialize_input: bool = True,
 ) -> TrainedClosedForm:
     checkpoint_root(sales.sparkSession)

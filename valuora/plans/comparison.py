@@ -80,7 +80,7 @@ def closed_form_comparison(
     label: str,
     univariate: Mapping[str, str],
     key: str,
-    method: str = "exact",
+    method: str = "refine",
 ) -> DataFrame:
     """M1+M2+M5 closed form: out-of-fold predictions for all candidates and folds.
 
@@ -98,7 +98,7 @@ def closed_form_comparison(
     return preds.select("model", "validation_year", key, F.col(label).alias("label"), "prediction")
 
 
-def fit_closed_form_all(df: DataFrame, label: str, model: str, univariate: Mapping[str, str], method: str = "exact") -> DataFrame:
+def fit_closed_form_all(df: DataFrame, label: str, model: str, univariate: Mapping[str, str], method: str = "refine") -> DataFrame:
     """Refit one closed-form candidate on all development rows."""
     tagged = df.withColumn("validation_year", F.lit(0))
     params = _fit_closed_form(tagged, label, {k: v for k, v in univariate.items() if k == model}, method)
