@@ -68,7 +68,8 @@ def read_or_materialise(
     """
     from valuora.operators.validate import require_columns
 
-    if not force and _path_exists(spark, cache_path):
+    # A finished write leaves _SUCCESS; a half-written folder is rebuilt.
+    if not force and _path_exists(spark, f"{cache_path.rstrip('/')}/_SUCCESS"):
         cached = read_parquet(spark, cache_path)
         require_columns(cached, required_columns)
         return cached
