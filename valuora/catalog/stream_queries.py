@@ -36,6 +36,13 @@ def _bucket_sql(value: str, bounds, prefix: str) -> str:
     return ", ".join(parts)
 
 
+def _utc(spark):
+    """Event times are zone-less (TIMESTAMP_NTZ); window arithmetic runs on
+    TIMESTAMP, so pin the session zone to UTC to keep windows epoch-aligned
+    whatever zone the caller's session uses."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def _round_sum(df, col, d=6):
     return df.withColumn(col, F.round(col, d))
 
@@ -48,6 +55,7 @@ SELECT CAST(floor(epoch(ts) / {DAY}) * {DAY} AS BIGINT) AS window_start, event_t
 FROM events GROUP BY 1, 2, 3
 """.replace("sum(value / 1000.0) AS latency_sum_raw", "round(sum(value / 1000.0), 6) AS latency_sum"))
 def request_counters(spark, sf_dir):
+    _utc(spark)
     out = S.request_counters(table(spark, sf_dir, "events"), window_seconds=DAY)
     return _round_sum(out, "latency_sum")
 
@@ -60,6 +68,7 @@ SELECT CAST(floor(epoch(ts) / {MONTH}) * {MONTH} AS BIGINT) AS window_start,
 FROM sale_ev GROUP BY 1
 """)
 def price_histogram(spark, sf_dir):
+    _utc(spark)
     out = S.price_histogram(sale_events(spark, sf_dir), "ts", "predicted_price", MONTH)
     return _round_sum(out, "price_sum", 2)
 
@@ -74,6 +83,7 @@ FROM sale_ev WHERE label_ts >= ts AND label_ts <= ts + INTERVAL 365 DAY
 GROUP BY 1
 """)
 def delayed_label_windows(spark, sf_dir):
+    _utc(spark)
     ev = sale_events(spark, sf_dir)
     preds = ev.select("sale_id", "ts", "predicted_price")
     labels = ev.select("sale_id", "label_ts", "actual_price").where(F.col("label_ts").isNotNull())
@@ -114,6 +124,7 @@ GROUP BY 1, 2
 
 @register("windowed_drift", _t5_sql())
 def windowed_drift(spark, sf_dir):
+    _utc(spark)
     s = sales_source(spark, sf_dir)
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sale_id"), F.col("o_orderdate").alias("ts"))
     ref = drift.numeric_long(s.where(F.col("sold_year") < REFERENCE_CUTOFF_YEAR), SALES_NUMERIC)
@@ -135,6 +146,7 @@ def windowed_drift(spark, sf_dir):
 def stream_request_counters(spark, sf_dir):
     """T2 as a stream: watermark 1 hour, daily windows, append mode; windows
     still open at the end of the input stay in state (not emitted)."""
+    _utc(spark)
     checkpoint_root(spark)
     schema = table(spark, sf_dir, "events").schema
     src = spark.readStream.schema(schema).parquet(S.file_glob(f"{sf_dir}/events.parquet"))
@@ -148,6 +160,7 @@ def stream_request_counters(spark, sf_dir):
 @register("stream_delayed_labels")
 def stream_delayed_labels(spark, sf_dir):
     """T4 as a stream-stream join (both inputs written once as file streams)."""
+    _utc(spark)
     checkpoint_root(spark)
     ev = sale_events(spark, sf_dir)
     pred_dir, lab_dir = scratch_path(spark, "t4-pred"), scratch_path(spark, "t4-lab")
@@ -190,6 +203,7 @@ def stream_windowed_drift(spark, sf_dir):
     """T5 as a stream: current rows arrive as a file stream, are binned against
     frozen reference edges (static broadcast table) and counted per yearly
     event-time window with a watermark; PSI is then computed from the sink."""
+    _utc(spark)
     checkpoint_root(spark)
     s = sales_source(spark, sf_dir)
     ref = drift.numeric_long(s.where(F.col("sold_year") < REFERENCE_CUTOFF_YEAR), SALES_NUMERIC)
