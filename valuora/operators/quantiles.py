@@ -62,7 +62,12 @@ def _refined(src: DataFrame, groups: list[str], probs: list[float], accuracy: in
     # ``accuracy`` rows are bounded and take the exact percentile; when there
     # is no larger group at all, that is the whole plan (one shuffle).
     sizes = keyed.groupBy(*gcols).agg(F.count(F.lit(1)).alias("__n"))
-    if sizes.where(F.col("__n") >= accuracy).limit(1).count() == 0:
+    if not groups:
+        # One global group: a limit stops reading once ``accuracy`` rows are seen.
+        all_small = keyed.limit(accuracy).count() < accuracy
+    else:
+        all_small = sizes.where(F.col("__n") >= accuracy).limit(1).count() == 0
+    if all_small:
         exact = keyed.groupBy(*gcols).agg(F.percentile("__x", probs).alias("q"))
         return exact.drop("__g") if not groups else exact
     sized = keyed.join(sizes, gcols)
