@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -89,6 +90,27 @@ def env_cpus(default: int = 8) -> int:
         return default
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (once per application).
+
+    Spark distributes the zipped sources itself, so tasks work wherever the
+    package is not installed on the executors.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_valuora_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="valuora-code-"), "valuora.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(path)
+    context._valuora_shipped = True
+
+
 def materialize(df, name: str):
     """Write ``df`` as Parquet below the checkpoint root and read it back.
 
