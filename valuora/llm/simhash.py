@@ -99,19 +99,21 @@ class PivotTable:
         """The distance table's row: Hamming distance to every reference."""
         return F.array(*[F.bit_count(fp.bitwiseXOR(F.lit(p).cast("long"))).cast("byte") for p in self.references])
 
-    def cells(self, table_row: Column) -> Column:
-        """Keys of the fingerprint's own cell and of the cells one count away."""
-        zero = F.element_at(table_row, 1).cast("long")
-        count = [((zero - F.element_at(table_row, 2 + b).cast("long") + self.width) / 2).cast("long")
-                 for b in range(self.blocks)]
-        own = F.lit(0).cast("long")
-        for b, c in enumerate(count):
-            own = own + F.shiftleft(c, self.digit * b)
-        keys = [own]
-        for b, c in enumerate(count):
-            step = F.lit(1 << (self.digit * b)).cast("long")
-            keys += [F.when(c > 0, own - step), F.when(c < self.width, own + step)]
-        return F.array_compact(F.array(*keys))
+    def add_cells(self, tables: DataFrame, dist: str = "dist", out: str = "cell") -> DataFrame:
+        """One row per entry of a fingerprint: its own cell and the cells one count away."""
+        zero = F.element_at(dist, 1).cast("int")
+        counts = F.transform(F.slice(dist, 2, self.blocks), lambda d: F.shiftright(zero - d.cast("int") + self.width, 1))
+        place = F.aggregate(
+            F.sequence(F.lit(0), F.lit(self.blocks - 1)), F.lit(0).cast("long"),
+            lambda acc, b: acc + F.call_function("shiftleft", F.element_at("_counts", b + 1).cast("long"), b * self.digit))
+        step = lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b * self.digit)
+        blocks = F.sequence(F.lit(0), F.lit(self.blocks - 1))
+        below = F.transform(F.filter(blocks, lambda b: F.element_at("_counts", b + 1) > 0), lambda b: F.col("_own") - step(b))
+        above = F.transform(F.filter(blocks, lambda b: F.element_at("_counts", b + 1) < self.width), lambda b: F.col("_own") + step(b))
+        return (
+            tables.withColumn("_counts", counts).withColumn("_own", place)
+            .withColumn(out, F.explode(F.concat(F.array("_own"), below, above))).drop("_counts", "_own", dist)
+        )
 
 
 def _coordinates_allow(a: Column, b: Column, limit: int) -> Column:
@@ -127,7 +129,7 @@ def links(distinct: DataFrame, pivots: PivotTable, cell_rows: int = 64) -> DataF
     shared pivots, which connect the same fingerprints.
     """
     tables = distinct.select("fp", pivots.distances(F.col("fp")).alias("dist"))
-    entries = tables.select("fp", F.explode(pivots.cells(F.col("dist"))).alias("cell"))
+    entries = pivots.add_cells(tables)
     sizes = entries.groupBy("cell").agg(F.count("*").alias("members")).where("members > 1")
     shared = materialize(entries.join(sizes, "cell"), "simhash-cells")
     small = shared.where(F.col("members") <= cell_rows).select("cell", "fp")
