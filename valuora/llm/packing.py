@@ -14,9 +14,11 @@ their pieces are packed together in a second round.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,7 @@ from valuora.llm.common import byte_slices, materialize, shipped
 
 MEMO_WORDS = 400_000
 LONG_WORD = 48
+ENCODE_WORDS = 4096
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -50,8 +53,12 @@ class WordTokenizer:
         self.memo: dict[bytes, bytes] = {}
 
     def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(words, coded)}
+        out = {}
+        for at in range(0, len(words), ENCODE_WORDS):  # the tokenizer's own result objects are large
+            some = words[at : at + ENCODE_WORDS]
+            coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+            out.update((w, struct.pack(f"<{len(e)}I", *e.ids)) for w, e in zip(some, coded))
+        return out
 
     def texts(self, texts: list[str | None]) -> Iterator[bytes]:
         raw = [(t or "").encode() for t in texts]
@@ -74,6 +81,12 @@ class WordTokenizer:
                 yield b"".join(map(memo.__getitem__, words))
 
 
+@lru_cache(maxsize=2)
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this Python process, so tasks that follow each other share its memo."""
+    return WordTokenizer(path)
+
+
 def token_pieces(
     docs: DataFrame,
     tokenizer_path: str,
@@ -106,7 +119,7 @@ def token_pieces(
     step = 4 * max_tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = worker_tokenizer(tokenizer_path)
         seen = 0
         for batch in batches:
             for part in byte_slices(batch):
