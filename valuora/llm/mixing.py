@@ -86,30 +86,35 @@ def water_fill(sources: DataFrame, weights: Sequence[float], total_share: float
 
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many of each length to take so that the sum comes as near to ``budget``
-    as it can from below (bounded subset sum).
+    as it can, from below in a tie (bounded subset sum).
 
-    Counts are split into binary lots; the reachable sums are one big-integer bit
-    set, and the lot that first reached each sum is kept for the way back.
+    Counts are split into binary lots; the reachable sums up to twice the budget
+    (beyond it, taking nothing is nearer) are one big-integer bit set, and the lot
+    that first reached each sum is kept for the way back.
     """
     taken = np.zeros(len(lengths), dtype=np.int64)
-    mask = (1 << (budget + 1)) - 1
-    reach, first, lots = 1, np.full(budget + 1, -1, dtype=np.int64), []
+    top = 2 * budget
+    mask = (1 << (top + 1)) - 1
+    reach, first, lots = 1, np.full(top + 1, -1, dtype=np.int64), []
     for i, (length, count) in enumerate(zip(lengths.tolist(), counts.tolist())):
-        if length <= 0 or length > budget:
+        if length <= 0 or length > top:
             continue
-        count, lot = min(count, budget // length), 1
+        count, lot = min(count, top // length), 1
         while count > 0:
             lot = min(lot, count)
             fresh = (reach << (lot * length)) & mask & ~reach
             if fresh:
-                bits = np.frombuffer(fresh.to_bytes(budget // 8 + 1, "little"), dtype=np.uint8)
-                first[np.flatnonzero(np.unpackbits(bits, bitorder="little")[: budget + 1])] = len(lots)
+                bits = np.frombuffer(fresh.to_bytes(top // 8 + 1, "little"), dtype=np.uint8)
+                first[np.flatnonzero(np.unpackbits(bits, bitorder="little")[: top + 1])] = len(lots)
                 lots.append((i, lot))
                 reach |= fresh
             count, lot = count - lot, lot * 2
         if reach >> budget & 1:
             break
-    at = reach.bit_length() - 1
+    below = (reach & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    above = reach >> (budget + 1)
+    over = budget + (above & -above).bit_length() if above else top + 1
+    at = below if budget - below <= over - budget else over
     while at > 0:
         i, lot = lots[first[at]]
         taken[i] += lot
