@@ -30,9 +30,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from valuora.llm.common import byte_slices, materialize, shipped
 
-MEMO_WORDS = 400_000
+MEMO_WORDS = 800_000
 LONG_WORD = 48
-ENCODE_WORDS = 4096
+ENCODE_WORDS = 1024
+WORD_END = "</w>"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -51,11 +52,30 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
 
     def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
-        out = {}
-        for at in range(0, len(words), ENCODE_WORDS):  # the tokenizer's own result objects are large
-            some = words[at : at + ENCODE_WORDS]
+        """Ids of each word.  Words of letters alone are coded many at a time and cut
+        at the tokens that end a word; should a letter run turn out to be more than
+        one, that lot is coded word by word like the other words."""
+        out: dict[bytes, bytes] = {}
+        letters, rest = [], []
+        for w in words:
+            (letters if w.isalpha() or w.decode().isalpha() else rest).append(w)
+        for at in range(0, len(letters), ENCODE_WORDS):
+            some = letters[at : at + ENCODE_WORDS]
+            ids = np.array(self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, dtype="<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(stops) != len(some) or stops[-1] != 4 * len(ids):
+                rest += some
+                continue
+            data, start = ids.tobytes(), 0
+            for w, stop in zip(some, stops.tolist()):
+                out[w], start = data[start:stop], stop
+        for at in range(0, len(rest), ENCODE_WORDS):  # the tokenizer's own result objects are large
+            some = rest[at : at + ENCODE_WORDS]
             coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
             out.update((w, struct.pack(f"<{len(e)}I", *e.ids)) for w, e in zip(some, coded))
         return out
@@ -66,14 +86,16 @@ class WordTokenizer:
         memo = self.memo
         if len(memo) > MEMO_WORDS:
             memo.clear()
-        new = {w for words in split for w in words if w not in memo}
+        new = set().union(*split).difference(memo)
         stopped = {w for w in new if len(w) > 1 and w[-1:] in b".," and w[-2] in _LETTERS}
         parts = {w[:-1] for w in stopped} | {w[-1:] for w in stopped} | (new - stopped)
         coded = self._encode([w for w in parts if w not in memo])
         ids = lambda w: coded[w] if w in coded else memo[w]
-        coded |= {w: ids(w[:-1]) + ids(w[-1:]) for w in stopped}
+        coded.update([(w, ids(w[:-1]) + ids(w[-1:])) for w in stopped])
         long = {w: i for w, i in coded.items() if len(w) > LONG_WORD}
-        memo.update((w, i) for w, i in coded.items() if len(w) <= LONG_WORD)
+        memo.update(coded)
+        for w in long:
+            del memo[w]
         for words in split:
             if long:
                 yield b"".join([long[w] if w in long else memo[w] for w in words])
