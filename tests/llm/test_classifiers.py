@@ -81,7 +81,7 @@ def test_op10_held_out(spark, labels):
 
 def test_score_does_not_depend_on_language_or_id(spark):
     model = toxicity.train(spark.createDataFrame(
-        [(i, "you idiot scum" if i % 3 == 0 else f"calm words {i}", "en", int(i % 3 == 0)) for i in range(300)],
+        [(i, ("you idiot", "what scum")[i % 2] if i % 3 == 0 else f"calm words {i}", "en", int(i % 3 == 0)) for i in range(300)],
         "doc_id long, text string, lang string, toxic int"))
     df = spark.createDataFrame([(1, "an idiot", "en"), (2, "an idiot", None), (3, "", "xx"), (4, None, "de"), (5, "calm", "en"),
                                 (6, "calm " * 50000 + "idiot", "en")], "doc_id long, text string, lang string")
