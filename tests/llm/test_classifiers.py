@@ -88,7 +88,8 @@ def test_score_does_not_depend_on_language_or_id(spark):
     r = {x["doc_id"]: x for x in df.select("doc_id", toxicity.scored(model, F.col("text")).alias("s"),
                                           toxicity.language_threshold(model, F.col("lang")).alias("t")).collect()}
     assert r[1]["s"] == pytest.approx(r[2]["s"]) and r[3]["s"] == pytest.approx(r[4]["s"])
-    assert r[1]["s"] > 0.5 > r[5]["s"] and r[6]["s"] > 0.5  # one word at the end of a very long text counts
+    # decided at 0.3, as the query decides; one word at the end of a very long text counts
+    assert r[1]["s"] >= 0.3 > r[5]["s"] and r[6]["s"] >= 0.3
     assert "en" in model.by_language and r[3]["t"] == pytest.approx(model.threshold)
 
 
