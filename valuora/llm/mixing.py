@@ -147,7 +147,7 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int
 
 
 def decide(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), repeat: float = 3.0, seed: int = 7,
-           bucket_rows: int = 1024, window: int = 16384) -> DataFrame:
+           bucket_rows: int = 128, window: int = 16384) -> DataFrame:
     """``rows`` (``_row``, doc_id, source, size, _tie) with source_size, target and copies.
 
     ``copies`` is how often the mix takes the row (0 to ``repeat`` rounded down).  Null
