@@ -10,13 +10,12 @@ Three methods, same output shape (group columns + ``q array<double>``):
     ``percentile_approx`` (Greenwald-Khanna sketch, mergeable partials,
     bounded memory).  Returns observed values, not interpolated ones.
 ``refine``
-    Exact *and* distributed: a sketch brackets each needed order statistic
-    within a rank window of a few ``n/accuracy`` rows, one pass counts the
-    rows below each bracket, and only the rows inside the brackets (ties
-    collapsed to ``(value, count)``) are ranked.  Groups with fewer than
-    ``accuracy`` rows take the exact path (their value map is bounded by
-    ``accuracy``).  No task ever holds a whole large group, so a single hot
-    group with a third of the table is fine.
+    Exact *and* distributed, the same plan for every size: one scan sketches
+    each group and brackets the order statistics, a second scan counts what
+    lies below each bracket and keeps the values inside (ties collapsed to
+    ``(value, count)``), and those are ranked.  Brackets widen in steps until
+    they hold a few ranks, so a group of three rows and one of a billion take
+    the same way; no task ever holds a whole large group.
 """
 
 from __future__ import annotations
@@ -26,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from valuora.session import materialize
+
 
 def grouped_quantiles(
     df: DataFrame,
@@ -33,7 +34,7 @@ def grouped_quantiles(
     value: str,
     probs: Sequence[float],
     method: str = "exact",
-    accuracy: int = 1_000_000,
+    accuracy: int = 100_000,
 ) -> DataFrame:
     """Quantiles of ``value`` per group; nulls are ignored; empty groups are absent."""
     probs = [float(p) for p in probs]
@@ -52,63 +53,43 @@ def grouped_quantiles(
 
 def _refined(src: DataFrame, groups: list[str], probs: list[float], accuracy: int) -> DataFrame:
     k = len(probs)
-    margin = 3.0 / accuracy
-    lo_p = [max(0.0, p - margin) for p in probs]
-    hi_p = [min(1.0, p + margin) for p in probs]
-    keyed = src if groups else src.withColumn("__g", F.lit(0))
-    gcols = groups or ["__g"]
-
-    # Pass 0: group sizes (partial aggregation, tiny output).  Groups below
-    # ``accuracy`` rows are bounded and take the exact percentile; when there
-    # is no larger group at all, that is the whole plan (one shuffle).
-    sizes = keyed.groupBy(*gcols).agg(F.count(F.lit(1)).alias("__n"))
-    if not groups:
-        # One global group: a limit stops reading once ``accuracy`` rows are seen.
-        all_small = keyed.limit(accuracy).count() < accuracy
-    else:
-        all_small = sizes.where(F.col("__n") >= accuracy).limit(1).count() == 0
-    if all_small:
-        exact = keyed.groupBy(*gcols).agg(F.percentile("__x", probs).alias("q"))
-        return exact.drop("__g") if not groups else exact
-    sized = keyed.join(sizes, gcols)
-    small = sized.where(F.col("__n") < accuracy).groupBy(*gcols).agg(F.percentile("__x", probs).alias("q"))
-    big = sized.where(F.col("__n") >= accuracy).drop("__n")
-
-    # Pass 1 (large groups only): one sketch per group brackets the order
-    # statistics floor(p (n-1)) and ceil(p (n-1)) between L_j and U_j.
-    sketch = big.groupBy(*gcols).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__x", lo_p + hi_p, accuracy).cast("array<double>").alias("__lohi"),
-    ).select(*gcols, "__n", F.slice("__lohi", 1, k).alias("__lo"), F.slice("__lohi", k + 1, k).alias("__hi"))
-    joined = big.join(sketch, gcols)
-    # Pass 2: rows strictly below each lower bracket, and the rows inside.
-    below = joined.groupBy(*gcols).agg(
-        *[F.sum((F.col("__x") < F.col("__lo")[j]).cast("long")).alias(f"__b{j}") for j in range(k)]
-    )
-    inside = F.filter(
-        F.sequence(F.lit(0), F.lit(k - 1)),
-        lambda j: (F.col("__x") >= F.element_at("__lo", j + 1)) & (F.col("__x") <= F.element_at("__hi", j + 1)),
-    )
-    cand = (
-        joined.select(*gcols, "__x", F.explode(inside).alias("__j"))
-        .groupBy(*gcols, "__j", "__x")
-        .agg(F.count(F.lit(1)).alias("__c"))
-    )
-    stats = sketch.join(below, gcols).select(
-        *gcols, "__n", F.array(*[F.col(f"__b{j}") for j in range(k)]).alias("__below")
-    )
-    # Rank the (small) candidate sets: running count within (group, j).
-    w = Window.partitionBy(*gcols, "__j").orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = cand.join(stats, gcols).select(
-        *gcols, "__j", "__x", "__n",
-        (F.element_at("__below", F.col("__j") + 1) + F.sum("__c").over(w)).alias("__cum"),
+    # Bracket half-widths as shares of the group: the sketch's rank error is below
+    # n / accuracy, and neighbouring ranks are 1 / n apart, so the first width of
+    # at least 3 / accuracy and 3 / n surely holds both ranks that p needs.
+    widths = [3.0 / accuracy]
+    while widths[-1] < 1.0:
+        widths.append(min(1.0, widths[-1] * 10))
+    ends = [min(1.0, max(0.0, p + side * w)) for p in probs for w in widths for side in (-1, 1)]
+    stats = [F.count(F.lit(1)).alias("__n"), F.percentile_approx("__x", ends, accuracy).cast("array<double>").alias("__s")]
+    sketch = materialize(src.groupBy(*groups).agg(*stats) if groups else src.agg(*stats), "quantile-sketch")
+    level = F.least(F.size(F.filter(F.array(*[F.lit(w) for w in widths]), lambda w: w * F.col("__n") < 3.0)), F.lit(len(widths) - 1))
+    at = [1 + 2 * (j * len(widths) + level) for j in range(k)]
+    brackets = sketch.select(
+        *groups, "__n", F.array(*[F.element_at("__s", i) for i in at]).alias("__lo"),
+        F.array(*[F.element_at("__s", i + 1) for i in at]).alias("__hi"))
+    if groups:
+        named = brackets.withColumnsRenamed({g: f"__k{i}" for i, g in enumerate(groups)})
+        same = [src[g].eqNullSafe(named[f"__k{i}"]) for i, g in enumerate(groups)]
+        joined = src.join(named, same).select(*groups, "__x", "__n", "__lo", "__hi")
+    else:  # one group: its brackets are a few literals, no join
+        row = brackets.first()
+        lits = [F.array(*[F.lit(v).cast("double") for v in row[c] or [None] * k]).alias(c) for c in ("__lo", "__hi")]
+        joined = src.select("__x", F.lit(row["__n"]).cast("long").alias("__n"), *lits)
+    one = joined.select(*groups, "__x", "__n", F.posexplode(F.arrays_zip("__lo", "__hi")).alias("__j", "__b"))
+    cells = (
+        one.where(F.col("__x") <= F.col("__b.__hi"))
+        .select(*groups, "__j", "__n", F.when(F.col("__x") >= F.col("__b.__lo"), F.col("__x")).alias("__x"))
+        .groupBy(*groups, "__j", "__n", "__x").agg(F.count(F.lit(1)).alias("__c"))
     )
+    # Running count within (group, j); the row without value holds all below.
+    w = Window.partitionBy(*groups, "__j").orderBy(F.asc_nulls_first("__x")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = cells.withColumn("__cum", F.sum("__c").over(w))
     probs_arr = F.array(*[F.lit(p) for p in probs])
     pos = (F.col("__n") - 1).cast("double") * F.element_at(probs_arr, F.col("__j") + 1)
-    ranked = ranked.select(*gcols, "__j", "__x", "__cum", pos.alias("__pos"))
+    ranked = ranked.select(*groups, "__j", "__x", "__cum", pos.alias("__pos"))
     lo_rank = F.floor("__pos")
     hi_rank = F.ceil("__pos")
-    picked = ranked.groupBy(*gcols, "__j").agg(
+    picked = ranked.groupBy(*groups, "__j").agg(
         F.first("__pos").alias("__pos"),
         F.min(F.when(F.col("__cum") > lo_rank, F.col("__x"))).alias("__vlo"),
         F.min(F.when(F.col("__cum") > hi_rank, F.col("__x"))).alias("__vhi"),
@@ -117,13 +98,11 @@ def _refined(src: DataFrame, groups: list[str], probs: list[float], accuracy: in
     value = F.when(lo_r == hi_r, F.col("__vlo")).otherwise(
         (hi_r - F.col("__pos")) * F.col("__vlo") + (F.col("__pos") - lo_r) * F.col("__vhi")
     )
-    out = picked.groupBy(*gcols).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col("__j"), value.alias("v")))), lambda s: s["v"]
-        ).alias("q")
-    )
-    out = small.unionByName(out)
-    return out.drop("__g") if not groups else out
+    ordered = F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col("__j"), value.alias("v")))), lambda s: s["v"]).alias("q")
+    if groups:
+        return picked.groupBy(*groups).agg(ordered)
+    return picked.agg(ordered).where(F.size("q") > 0)
 
 
 def median_by(df: DataFrame, group_cols: Sequence[str], value: str, alias: str, method: str = "exact") -> DataFrame:

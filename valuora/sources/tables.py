@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuora.operators.joins import bounded_broadcast
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -80,7 +79,7 @@ def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     cust = customer.join(
-        bounded_broadcast(nation, 10_000), customer.c_nationkey == nation.n_nationkey, "inner"
+        nation, customer.c_nationkey == nation.n_nationkey, "inner"
     )
     base = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
     joined = base.join(lines, base.o_orderkey == lines.l_orderkey, "left")
