@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from valuora.session import materialize, ship_package
 
-__all__ = ["BATCH_BYTES", "table", "text_or_empty", "map_columns", "with_row_ids", "materialize", "byte_slices", "shipped"]
+__all__ = ["BATCH_BYTES", "table", "text_or_empty", "map_columns", "with_row_ids", "materialize", "byte_slices", "shipped", "smallest"]
 
 #: Python tasks cut their incoming Arrow batches so that one step holds about
 #: this many bytes of text, however long single texts are.
@@ -69,3 +69,15 @@ def with_row_ids(df: DataFrame, name: str, column: str = "_row") -> DataFrame:
     one; repeated rows become distinguishable.
     """
     return materialize(df.withColumn(column, F.monotonically_increasing_id()), name)
+
+
+def smallest(rows: DataFrame, order: str, count: int, *ties: str) -> DataFrame:
+    """The ``count`` rows with the smallest ``order`` (then ``ties``).
+
+    The bar is found on that one column first, so wide columns of other rows are
+    filtered out where they are read.
+    """
+    bar = rows.select(order).orderBy(order).limit(count).agg(F.max(order)).first()[0]
+    if bar is None:
+        return rows.limit(0)
+    return rows.where(F.col(order) <= bar).orderBy(order, *ties).limit(count)

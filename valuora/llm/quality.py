@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from valuora.llm.common import map_columns
+from valuora.llm.common import map_columns, smallest
 from valuora.session import ship_package
 
 BITS = 16
@@ -133,12 +133,10 @@ def train(rated: DataFrame, n_grades: int = 3, text_col: str = "text", grade_col
     better, at most 0.5.  Rows without text or grade do not train; without rated
     rows of two grades the model keeps everything.
     """
-    chosen = (
-        rated.where(F.col(grade_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(F.col(text_col).alias("text"), F.col(grade_col).cast("int").alias("grade"),
-                F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"))
-        .orderBy("h", "grade").limit(sample_rows)
-    )
+    rows = rated.where(F.col(grade_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(text_col).alias("text"), F.col(grade_col).cast("int").alias("grade"),
+        F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"))
+    chosen = smallest(rows, "h", sample_rows, "grade", "text")
     schema = T.StructType(
         [T.StructField("h", T.LongType()), T.StructField("grade", T.IntegerType()),
          T.StructField("f", T.ArrayType(T.IntegerType())), T.StructField("v", T.ArrayType(T.FloatType()))])
@@ -152,11 +150,11 @@ def train(rated: DataFrame, n_grades: int = 3, text_col: str = "text", grade_col
 
         return work
 
-    got = map_columns(chosen, make, schema).toPandas()
-    grades = got["grade"].to_numpy(dtype=np.int64)
+    got = map_columns(chosen, make, schema).toArrow()
+    grades = got["grade"].to_numpy().astype(np.int64)
     if len(np.unique(grades)) < 2:
         return OrdinalModel(np.zeros(1 << BITS), np.full(n_grades - 1, -10.0), select_grade, 0.0)
-    features = [(np.asarray(f, dtype=np.int64), np.asarray(v, dtype=np.float64)) for f, v in zip(got["f"], got["v"])]
+    features = [(f.values.to_numpy(), v.values.to_numpy()) for f, v in zip(got["f"], got["v"])]  # views, no copies
     held = (np.arange(len(grades)) % 5 == 4) & (len(grades) >= 50)
     weights, theta = fit_ordinal([x for x, h in zip(features, held) if not h], grades[~held], n_grades)
     model = OrdinalModel(weights, theta, select_grade)
