@@ -21,7 +21,7 @@ def test_entry_runs(spark):
 def test_every_oracle_has_a_query():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert not any(k.startswith("op") and k[2:3].isdigit() for k in q)
+    assert len(q) > 80
 
 
 def _norm(rows, cols):

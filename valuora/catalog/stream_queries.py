@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from valuora.catalog import register
+from valuora.catalog import REGISTRY, register
 from valuora.catalog.sqlgen import long_sql, psi_sql
 from valuora.functions import contract as K
 from valuora.operators import drift
@@ -142,22 +142,43 @@ def windowed_drift(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- real streams
-@register("stream_request_counters")
+@register("stream_request_counters", REGISTRY["request_counters"][1])
 def stream_request_counters(spark, sf_dir):
-    """T2 as a stream: watermark 1 hour, daily windows, append mode; windows
-    still open at the end of the input stay in state (not emitted)."""
+    """T2 as a stream: watermark 1 hour, daily windows, append mode, closed to the last window."""
     _utc(spark)
     checkpoint_root(spark)
     schema = table(spark, sf_dir, "events").schema
-    src = spark.readStream.schema(schema).parquet(S.file_glob(f"{sf_dir}/events.parquet"))
-    src = src.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
-    agg = S.request_counters(src, window_seconds=DAY)
+
+    def build(beats):
+        src = spark.readStream.schema(schema).parquet(S.file_glob(f"{sf_dir}/events.parquet")).unionByName(beats)
+        src = src.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
+        return S.request_counters(src, window_seconds=DAY)
+
     out = scratch_path(spark, "t2-out")
-    S.run_available(agg, out, scratch_path(spark, "t2-ckpt"))
-    return spark.read.parquet(out)
+    S.run_to_the_end(spark, build, schema, "ts", out, scratch_path(spark, "t2-ckpt"), scratch_path(spark, "t2-beats"))
+    return _round_sum(spark.read.parquet(out), "latency_sum")
 
 
-@register("stream_delayed_labels")
+@register("stream_price_histogram", REGISTRY["price_histogram"][1])
+def stream_price_histogram(spark, sf_dir):
+    """T3 as a stream: predicted prices in monthly windows, watermark 30 days."""
+    _utc(spark)
+    checkpoint_root(spark)
+    prices = sale_events(spark, sf_dir).select("ts", "predicted_price")
+    held = scratch_path(spark, "t3-prices")
+    prices.write.parquet(held)
+
+    def build(beats):
+        src = spark.readStream.schema(prices.schema).parquet(held).unionByName(beats)
+        src = src.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "30 days")
+        return S.price_histogram(src, "ts", "predicted_price", MONTH)
+
+    out = scratch_path(spark, "t3-out")
+    S.run_to_the_end(spark, build, prices.schema, "ts", out, scratch_path(spark, "t3-ckpt"), scratch_path(spark, "t3-beats"))
+    return _round_sum(spark.read.parquet(out), "price_sum", 2)
+
+
+@register("stream_delayed_labels", REGISTRY["delayed_label_windows"][1])
 def stream_delayed_labels(spark, sf_dir):
     """T4 as a stream-stream join (both inputs written once as file streams)."""
     _utc(spark)
@@ -171,7 +192,9 @@ def stream_delayed_labels(spark, sf_dir):
     joined = S.delayed_label_join(preds, labels, "sale_id", "ts", "label_ts")
     out = scratch_path(spark, "t4-out")
     S.run_available(joined, out, scratch_path(spark, "t4-ckpt"))
-    return S.delayed_performance_by_window(spark.read.parquet(out), "ts", MONTH)
+    windows = S.delayed_performance_by_window(spark.read.parquet(out), "ts", MONTH)
+    return windows.select("window_start", "n_pairs", F.round("log_rmse", 6).alias("log_rmse"),
+                          F.round("dollar_mae", 2).alias("dollar_mae"))
 
 
 @register("stream_scoring")
@@ -198,7 +221,7 @@ def stream_scoring(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@register("stream_windowed_drift")
+@register("stream_windowed_drift", REGISTRY["windowed_drift"][1])
 def stream_windowed_drift(spark, sf_dir):
     """T5 as a stream: current rows arrive as a file stream, are binned against
     frozen reference edges (static broadcast table) and counted per yearly
@@ -213,13 +236,18 @@ def stream_windowed_drift(spark, sf_dir):
     s.where(F.col("sold_year") >= REFERENCE_CUTOFF_YEAR).join(orders, "sale_id").select(
         "ts", *[F.col(f).cast("double").alias(f) for f in SALES_NUMERIC]).write.parquet(cur_dir)
     schema = "ts timestamp_ntz, " + ", ".join(f"{f} double" for f in SALES_NUMERIC)
-    stream = spark.readStream.schema(schema).parquet(cur_dir)
-    stream = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "30 days")
-    long = stream.unpivot(["ts"], list(SALES_NUMERIC), "feature", "x")
+    rows = spark.read.parquet(cur_dir).schema
+
+    def build(beats):
+        stream = spark.readStream.schema(schema).parquet(cur_dir).unionByName(beats)
+        stream = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "30 days")
+        return S.windowed_bin_counts(stream.unpivot(["ts"], list(SALES_NUMERIC), "feature", "x"), edges, "ts", YEAR)
+
     out = scratch_path(spark, "t5-out")
-    S.run_available(S.windowed_bin_counts(long, edges, "ts", YEAR), out, scratch_path(spark, "t5-ckpt"))
+    S.run_to_the_end(spark, build, rows, "ts", out, scratch_path(spark, "t5-ckpt"), scratch_path(spark, "t5-beats"))
     ref_counts = ref.where(F.col("x").isNotNull()).join(F.broadcast(edges.select("feature", "inner_edges")), "feature") \
         .where(F.col("inner_edges").isNotNull()) \
         .select("feature", F.size(F.filter("inner_edges", lambda e: e <= F.col("x"))).alias("bin")) \
         .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
-    return S.psi_from_counts(spark.read.parquet(out), ref_counts)
+    psi = S.psi_from_counts(spark.read.parquet(out), ref_counts)
+    return psi.select("window_start", "feature", F.round("psi", 6).alias("psi"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -56,8 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; that value always wins.
-    Only when it is unset (tests, a laptop) a fresh local folder is created
-    and registered, so the rest of the code never needs to special-case it.
+    Only when it is unset and the master is local (tests, a laptop) a fresh
+    local folder is created and registered; on a cluster an unset folder is an
+    error, as executors would each write to their own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -68,7 +71,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if existing:
         # getCheckpointDir returns "<root>/<uuid>"; reuse its parent.
         return existing.rstrip("/").rsplit("/", 1)[0]
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
     local = tempfile.mkdtemp(prefix="valuora-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
@@ -79,17 +86,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (once per application).
 

@@ -149,6 +149,27 @@ def run_available(df: DataFrame, out: str, checkpoint: str, mode: str = "append"
     q.awaitTermination()
 
 
+#: Event time of the closing heartbeat: later than any window of the data.
+END_OF_STREAM = "2200-01-01 00:00:00"
+
+
+def run_to_the_end(spark: SparkSession, build, schema: T.StructType, ts: str, out: str, checkpoint: str, beats: str) -> None:
+    """Drain a windowed append-mode job so that its last windows arrive too.
+
+    Append mode keeps a window until the watermark passes it, which the data's own
+    last rows never do.  ``build`` maps a stream of heartbeats (rows of ``schema``, null
+    but for ``ts``) to the aggregate over data and heartbeats together.  The job
+    first drains the data; then one heartbeat far in the future moves the watermark
+    and the same job, from its checkpoint, emits what was still open.  The
+    heartbeat's own window stays in the state.
+    """
+    spark.createDataFrame([], schema).write.mode("append").parquet(beats)
+    run_available(build(spark.readStream.schema(schema).parquet(beats)), out, checkpoint)
+    last = [F.lit(END_OF_STREAM if f.name == ts else None).cast(f.dataType).alias(f.name) for f in schema]
+    spark.range(1).select(*last).write.mode("append").parquet(beats)
+    run_available(build(spark.readStream.schema(schema).parquet(beats)), out, checkpoint)
+
+
 def scoring_stream(
     spark: SparkSession,
     requests_path: str,
