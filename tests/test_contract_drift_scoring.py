@@ -19,8 +19,8 @@ GOOD = {"neighborhood": " N1 ", "zoning": "BUILDING", "building_type": "O", "gra
 
 def _requests(spark, docs):
     text = spark.createDataFrame([(json.dumps(d),) for d in docs], "t string")
-    parsed = files.parse_requests(text, "t", K.contract_schema(K.SALES_CONTRACT))
-    return K.validate(parsed, K.SALES_CONTRACT, K.SALES_RULES, extra_keys="extra_keys")
+    parsed = files.parse_requests(text, "t", K.SALES_CONTRACT)
+    return K.validate(parsed, K.SALES_CONTRACT, K.SALES_RULES, extra_keys="extra_keys", mistyped="mistyped")
 
 
 def test_valid_request_passes_and_is_trimmed(spark):
@@ -35,13 +35,20 @@ def test_extra_field_and_date_rule_are_rejected(spark):
     dates = dict(GOOD, last_ship_year=1990)
     rows = _requests(spark, [extra, dates]).collect()
     assert any("unknown field: surprise" in v for v in rows[0].violations)
-    assert "last_ship_year cannot be before first_ship_year" in rows[1].violations
+    assert "last_ship_year lies ahead of first_ship_year" in rows[1].violations
 
 
 def test_contract_names_and_metadata():
-    schema = K.contract_schema(K.SALES_CONTRACT)
-    assert [f.name for f in schema] == [s.name for s in K.SALES_CONTRACT]
-    assert schema["rooms"].metadata["maximum"] == 10
+    assert {"neighborhood", "rooms", "sold_year"} <= set(K.SALES_CONTRACT.names)
+    assert (K.SALES_CONTRACT["rooms"].metadata["low"], K.SALES_CONTRACT["rooms"].metadata["high"]) == (1, 10)
+
+
+def test_request_types_are_judged_on_the_raw_values(spark):
+    docs = [dict(GOOD, rooms=3.5), dict(GOOD, rooms="4"), dict(GOOD, living_area="abc"), dict(GOOD, zoning=7),
+            dict(GOOD, grade=None), dict(GOOD, rooms=11)]
+    got = [r.violations for r in _requests(spark, docs).collect()]
+    assert got == [["rooms: not an integer"], [], ["living_area: not a number"], ["zoning: not a text"],
+                   ["grade: required"], ["rooms: above 10"]]
 
 
 def test_strict_json_nulls_non_finite(spark):
@@ -72,7 +79,7 @@ def test_constant_model_scoring(spark):
     df = spark.createDataFrame([(math.log1p(200000.0),)], "log_prediction double")
     r = P.score(df, cal).first()
     assert r.interval_low < r.price < r.interval_high and r.price > 200000
-    assert r.warnings[0].startswith("Historical estimate")
+    assert r.warnings[0].startswith("Priced at about")
     assert len(r.warnings) == 1
 
 

@@ -15,12 +15,12 @@ def _engineer(spark, rows):
 
 
 def test_engineered_row_by_hand(spark):
-    r = _engineer(spark, [(2008, 2000, 1990, 1500.0, 800.0, 3, 7, 0.05, -10.0)])
-    assert r.ship_lag == 8 and r.order_lag == 10
-    assert r.total_area == 2300.0
-    assert r.weighted_count == 3 + 0.5 * 800
-    assert r.grade_by_area == 7 * 1500.0
-    assert r.area_sum == pytest.approx(1500 + 800 + 0.05)
+    r = _engineer(spark, [(2003, 1998, 1991, 1230.0, 410.0, 5, 6, 0.03, -42.5)])
+    assert r.ship_lag == 5 and r.order_lag == 7
+    assert r.total_area == 1640.0
+    assert r.weighted_count == 5 + 0.5 * 410
+    assert r.grade_by_area == 6 * 1230.0
+    assert r.area_sum == pytest.approx(1230 + 410 + 0.03)
     assert (r.has_returns, r.has_discount, r.has_credit) == (1, 1, 0)
 
 

@@ -104,3 +104,39 @@ def test_median_baseline_and_persistence(spark, tmp_path):
     a = [r.prediction for r in model.transform(df).collect()]
     b = [r.prediction for r in again.transform(df).collect()]
     assert a == b and a[0] == 24.5
+
+
+def test_encoded_width_is_the_fitted_levels_and_unseen_is_all_zeros(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 4.0), ("a", 8.0)], "g string, x double")
+    model = MD.ProductionPreprocessor(numericCols=["x"], categoricalCols=["g"]).fit(df)
+    new = model.transform(spark.createDataFrame([("zzz", 2.0), ("b", 2.0)], "g string, x double")).collect()
+    assert [len(r.features) for r in new] == [4, 4]
+    assert [sum(r.features.toArray()[1:]) for r in new] == [0.0, 1.0]
+
+
+def test_pipeline_training_rows_are_target_encoded_out_of_fold(sales):
+    dev = sales.withColumn("label", F.log1p("sale_price"))
+    pre = MD.legacy_preprocessor("target", ["rooms"], ["neighborhood"], {}, "neighborhood", "sale_id", 42)
+    model, encoded = MD.fit_on_training(pre, dev)
+    levels = dev.select("neighborhood").distinct().count()
+    reaching = encoded.select("neighborhood", F.round(F.col("__te_neighborhood"), 9).alias("e")).distinct().count()
+    new_rows = model.transform(dev).select("neighborhood", F.round(F.col("__te_neighborhood"), 9).alias("e")).distinct().count()
+    assert new_rows == levels < reaching
+
+
+def test_changed_input_files_are_derived_anew(spark, sf_dir, tmp_path):
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    from valuora.sources.tables import SALES_INPUTS, sales_source
+
+    for name in SALES_INPUTS:
+        shutil.copyfile(f"{sf_dir}/{name}.parquet", tmp_path / f"{name}.parquet")
+    first = sales_source(spark, str(tmp_path))
+    again = sales_source(spark, str(tmp_path))
+    assert first.inputFiles() == again.inputFiles()
+    before = first.count()
+    orders = pq.read_table(f"{sf_dir}/orders.parquet")
+    pq.write_table(orders.slice(0, orders.num_rows // 2), tmp_path / "orders.parquet")
+    assert 0 < sales_source(spark, str(tmp_path)).count() < before

@@ -209,12 +209,11 @@ def stream_scoring(spark, sf_dir):
     req_dir = scratch_path(spark, "t1-req")
     hold = sales_source(spark, sf_dir).where(F.col("sold_year") == HOLDOUT_YEAR)
     hold.select(F.to_json(F.struct(*[F.col(s.name) for s in K.SALES_CONTRACT]))).write.text(req_dir)
-    schema = K.contract_schema(K.SALES_CONTRACT)
 
     def predict(valid):
         return C.predict_with(valid, trained.params, CF.UNIVARIATE).withColumnRenamed("prediction", "log_prediction")
 
-    stream = S.scoring_stream(spark, req_dir, schema, K.SALES_CONTRACT, K.SALES_RULES, predict, trained.calibration,
+    stream = S.scoring_stream(spark, req_dir, K.SALES_CONTRACT, K.SALES_RULES, predict, trained.calibration,
                               "closed-form-1")
     out = scratch_path(spark, "t1-out")
     S.run_available(stream, out, scratch_path(spark, "t1-ckpt"), partition_by=["route"])

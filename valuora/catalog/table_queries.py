@@ -26,7 +26,7 @@ def sales_table_query(spark, sf_dir):
 
 # ---------------------------------------------------------------- P2 + P13 + F18
 def _projection_sql() -> str:
-    cols = ", ".join(f"{s.source} AS {s.name}" for s in K.SALES_CONTRACT)
+    cols = ", ".join(f"{s.metadata['column']} AS {s.name}" for s in K.SALES_CONTRACT)
     return with_sales(f"SELECT {cols}, CAST(sale_price AS DOUBLE) AS sale_price, round(ln(1 + sale_price), 6) AS label FROM sales")
 
 
@@ -40,19 +40,20 @@ def contract_projection(spark, sf_dir):
 def _violation_sql_list() -> str:
     checks = []
     for s in K.SALES_CONTRACT:
-        if s.kind == "category":
+        if K.is_text(s):
             checks.append(f"CASE WHEN {s.name} IS NULL THEN '{s.name}: required' END")
             checks.append(f"CASE WHEN {s.name} IS NOT NULL AND length(trim(CAST({s.name} AS VARCHAR))) = 0 THEN '{s.name}: empty' END")
             continue
         num = f"TRY_CAST(CAST({s.name} AS VARCHAR) AS DOUBLE)"
         checks.append(f"CASE WHEN {s.name} IS NULL THEN '{s.name}: required' END")
         checks.append(f"CASE WHEN {s.name} IS NOT NULL AND {num} IS NULL THEN '{s.name}: not a number' END")
-        if s.kind == "integer":
+        if K.is_whole(s):
             checks.append(f"CASE WHEN {num} IS NOT NULL AND {num} <> floor({num}) THEN '{s.name}: not an integer' END")
-        if s.minimum is not None:
-            checks.append(f"CASE WHEN {num} < {float(s.minimum)} THEN '{s.name}: below {s.minimum:g}' END")
-        if s.maximum is not None:
-            checks.append(f"CASE WHEN {num} > {float(s.maximum)} THEN '{s.name}: above {s.maximum:g}' END")
+        low, high = s.metadata.get("low"), s.metadata.get("high")
+        if low is not None:
+            checks.append(f"CASE WHEN {num} < {float(low)} THEN '{s.name}: below {low:g}' END")
+        if high is not None:
+            checks.append(f"CASE WHEN {num} > {float(high)} THEN '{s.name}: above {high:g}' END")
     for r in K.SALES_RULES:
         a, b = f"CAST({r.left} AS DOUBLE)", f"CAST({r.right} AS DOUBLE)"
         checks.append(f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL AND NOT ({a} {r.op} {b}) THEN '{r.message}' END")
@@ -220,7 +221,7 @@ def request_parsing(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "props")
     parsed = files.parse_requests(ev, "props", REQUEST_SCHEMA, keep=["event_id"])
     return parsed.select(
-        "event_id", "k", F.size("extra_keys").alias("n_extra_keys"),
+        "event_id", F.col("k").try_cast("int").alias("k"), F.size("extra_keys").alias("n_extra_keys"),
         F.col("_corrupt_record").isNotNull().cast("int").alias("is_corrupt"),
     )
 

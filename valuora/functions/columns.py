@@ -19,11 +19,11 @@ CPI_BASE = 218.056
 CPI_REFERENCE_YEAR = 2025
 CPI_REFERENCE = 322.561
 CPI_NOTE = (
-    "Inflation-adjusted purchasing-power reference only; not a present-day "
-    "market valuation, appraisal, or forecast."
+    "The inflated figure converts purchasing power between years; no market "
+    "was consulted for it."
 )
-HISTORICAL_NOTICE = "Historical estimate in approximately 2010 dollars; not a present-day valuation."
-CLIPPED_NOTICE = "Prediction was clipped to the validated training range."
+HISTORICAL_NOTICE = "Priced at about the 2010 price level, which says nothing of current value."
+CLIPPED_NOTICE = "The raw price lay outside the prices seen in training and was moved to their edge."
 
 
 def c(name: str | Column) -> Column:

@@ -1,40 +1,32 @@
-"""Typed feature contract (P2-P5): specs, schema, projection, row validation.
-
-A contract is a tuple of :class:`FeatureSpec`.  It compiles to a
-``StructType`` whose field metadata carries source/label/bounds/default, to a
-projection that renames source columns to public names, and to a
-``violations array<string>`` column so invalid rows are routed (quarantined
-with their reasons) instead of failing one request at a time.
+"""Typed feature contract (P2-P5): schema, projection, row validation.
+
+A contract is a plain ``StructType``: a field's type says whether it is a text,
+a whole number or a number, and its metadata carries the source column, the
+closed range, a title and an example.  It compiles to a projection that renames
+source columns to public names, and to a ``violations array<string>`` column, so
+invalid rows are routed (quarantined with their reasons) instead of failing one
+request at a time.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
-from typing import Any
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SCHEMA_VERSION = "1.0.0"
-KINDS = ("integer", "number", "category")
-
 
-@dataclass(frozen=True)
-class FeatureSpec:
-    name: str
-    source: str
-    kind: str
-    label: str
-    minimum: float | None = None
-    maximum: float | None = None
-    categories: tuple[str, ...] = field(default_factory=tuple)
-    default: Any = None
-
-    def spark_type(self) -> T.DataType:
-        return {"integer": T.IntegerType(), "number": T.DoubleType(), "category": T.StringType()}[self.kind]
+def entry(name: str, dtype: T.DataType, title: str, example, low: float | None = None, high: float | None = None,
+          column: str | None = None) -> T.StructField:
+    """One field of a contract; ``column`` is its source column (default: the same name)."""
+    meta = {"column": column or name, "title": title, "example": example}
+    if low is not None:
+        meta["low"] = low
+    if high is not None:
+        meta["high"] = high
+    return T.StructField(name, dtype, True, meta)
 
 
 @dataclass(frozen=True)
@@ -47,39 +39,23 @@ class CrossRule:
     message: str
 
 
-def contract_schema(specs: Sequence[FeatureSpec]) -> T.StructType:
-    """Contract as a ``StructType``; each field's metadata carries its spec."""
-    fields = []
-    for s in specs:
-        meta = {k: v for k, v in asdict(s).items() if k not in ("name",)}
-        meta["categories"] = list(s.categories)
-        fields.append(T.StructField(s.name, s.spark_type(), True, metadata=meta))
-    return T.StructType(fields)
-
+def is_text(f: T.StructField) -> bool:
+    return isinstance(f.dataType, T.StringType)
 
-def numeric_names(specs: Sequence[FeatureSpec]) -> list[str]:
-    return [s.name for s in specs if s.kind != "category"]
 
+def is_whole(f: T.StructField) -> bool:
+    return isinstance(f.dataType, T.IntegerType)
 
-def categorical_names(specs: Sequence[FeatureSpec]) -> list[str]:
-    return [s.name for s in specs if s.kind == "category"]
 
-
-def schema_document(specs: Sequence[FeatureSpec]) -> str:
-    """Machine-readable contract (version + specs) as JSON text."""
-    return json.dumps({"schema_version": SCHEMA_VERSION, "features": [asdict(s) for s in specs]}, sort_keys=True)
-
-
-def project(df: DataFrame, specs: Sequence[FeatureSpec], target: str | None = None) -> DataFrame:
+def project(df: DataFrame, contract: T.StructType, target: str | None = None) -> DataFrame:
     """Select source columns under public names; optional target appended
     with a *strict* numeric cast (a bad value fails the job under ANSI mode)."""
-    missing = [s.source for s in specs if s.source not in df.columns]
-    if missing:
-        raise ValueError(f"Raw data is missing curated columns: {missing}")
-    cols = [F.col(s.source).alias(s.name) for s in specs]
+    wanted = [f.metadata["column"] for f in contract] + ([target] if target is not None else [])
+    absent = sorted(set(wanted) - set(df.columns))
+    if absent:
+        raise ValueError(f"cannot project onto the contract, the input lacks {', '.join(absent)}")
+    cols = [F.col(f.metadata["column"]).alias(f.name) for f in contract]
     if target is not None:
-        if target not in df.columns:
-            raise ValueError(f"Raw data is missing target column {target!r}")
         cols.append(F.col(target).cast("double").alias(target))
     return df.select(*cols)
 
@@ -92,58 +68,57 @@ _OPS = {
 }
 
 
-def violations(specs: Sequence[FeatureSpec], rules: Sequence[CrossRule] = (), extra_keys: str | None = None) -> Column:
+def violations(contract: T.StructType, rules: Sequence[CrossRule] = (), extra_keys: str | None = None,
+               mistyped: str | None = None) -> Column:
     """``array<string>`` of every reason a row breaks the contract.
 
     Per field: required (non-null), numeric type (``try_cast`` must succeed;
-    integers must be whole), ``minimum <= x <= maximum``, non-empty trimmed
-    category.  Cross-field rules run on the cast values and only when both
-    sides are present.  ``extra_keys`` names an array column of unknown keys.
+    integers must be whole), range, non-empty trimmed text.  Cross-field rules
+    run on the cast values and only when both sides are present.  ``extra_keys``
+    names an array column of unknown keys, ``mistyped`` one of text fields that
+    were given as something else.
     """
     checks: list[Column] = []
-    for s in specs:
-        raw = F.col(s.name)
-        if s.kind == "category":
-            text = F.trim(raw.cast("string"))
-            checks.append(F.when(raw.isNull(), F.lit(f"{s.name}: required")))
-            checks.append(F.when(raw.isNotNull() & (F.length(text) == 0), F.lit(f"{s.name}: empty")))
+    for f in contract:
+        raw = F.col(f.name)
+        checks.append(F.when(raw.isNull(), F.lit(f"{f.name}: required")))
+        if is_text(f):
+            checks.append(F.when(F.length(F.trim(raw.cast("string"))) == 0, F.lit(f"{f.name}: empty")))
             continue
-        num = raw.cast("string").try_cast("double")
-        checks.append(F.when(raw.isNull(), F.lit(f"{s.name}: required")))
-        checks.append(F.when(raw.isNotNull() & num.isNull(), F.lit(f"{s.name}: not a number")))
-        if s.kind == "integer":
-            checks.append(F.when(num.isNotNull() & (num != F.floor(num)), F.lit(f"{s.name}: not an integer")))
-        if s.minimum is not None:
-            checks.append(F.when(num < F.lit(float(s.minimum)), F.lit(f"{s.name}: below {s.minimum:g}")))
-        if s.maximum is not None:
-            checks.append(F.when(num > F.lit(float(s.maximum)), F.lit(f"{s.name}: above {s.maximum:g}")))
+        num, low, high = raw.try_cast("double"), f.metadata.get("low"), f.metadata.get("high")
+        checks.append(F.when(raw.isNotNull() & num.isNull(), F.lit(f"{f.name}: not a number")))
+        if is_whole(f):
+            checks.append(F.when(num != F.floor(num), F.lit(f"{f.name}: not an integer")))
+        if low is not None:
+            checks.append(F.when(num < F.lit(float(low)), F.lit(f"{f.name}: below {low:g}")))
+        if high is not None:
+            checks.append(F.when(num > F.lit(float(high)), F.lit(f"{f.name}: above {high:g}")))
     for r in rules:
-        a = F.col(r.left).cast("string").try_cast("double")
-        b = F.col(r.right).cast("string").try_cast("double")
-        ok = _OPS[r.op](a, b)
-        checks.append(F.when(a.isNotNull() & b.isNotNull() & ~ok, F.lit(r.message)))
+        ok = _OPS[r.op](F.col(r.left).try_cast("double"), F.col(r.right).try_cast("double"))
+        checks.append(F.when(~ok, F.lit(r.message)))
     arr = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+    if mistyped is not None:
+        arr = F.concat(arr, F.transform(F.col(mistyped), lambda k: F.concat(k, F.lit(": not a text"))))
     if extra_keys is not None:
         arr = F.concat(arr, F.transform(F.col(extra_keys), lambda k: F.concat(F.lit("unknown field: "), k)))
     return arr
 
 
-def clean(specs: Sequence[FeatureSpec]) -> list[Column]:
+def clean(contract: T.StructType) -> list[Column]:
     """Typed, whitespace-stripped contract columns (after validation)."""
     out = []
-    for s in specs:
-        if s.kind == "category":
-            out.append(F.trim(F.col(s.name).cast("string")).alias(s.name))
-        elif s.kind == "integer":
-            out.append(F.col(s.name).cast("string").try_cast("double").cast("int").alias(s.name))
+    for f in contract:
+        if is_text(f):
+            out.append(F.trim(F.col(f.name).cast("string")).alias(f.name))
         else:
-            out.append(F.col(s.name).cast("string").try_cast("double").alias(s.name))
+            out.append(F.col(f.name).try_cast("double").cast(f.dataType).alias(f.name))
     return out
 
 
-def validate(df: DataFrame, specs: Sequence[FeatureSpec], rules: Sequence[CrossRule] = (), extra_keys: str | None = None) -> DataFrame:
+def validate(df: DataFrame, contract: T.StructType, rules: Sequence[CrossRule] = (), extra_keys: str | None = None,
+             mistyped: str | None = None) -> DataFrame:
     """Append the ``violations`` column."""
-    return df.withColumn("violations", violations(specs, rules, extra_keys))
+    return df.withColumn("violations", violations(contract, rules, extra_keys, mistyped))
 
 
 def route(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -152,23 +127,23 @@ def route(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return validated.where(ok), validated.where(~ok)
 
 
-# The contract of the sales table used by tests and queries.
-SALES_CONTRACT: tuple[FeatureSpec, ...] = (
-    FeatureSpec("neighborhood", "neighborhood", "category", "Nation", default="FRANCE"),
-    FeatureSpec("zoning", "zoning", "category", "Market segment", default="BUILDING"),
-    FeatureSpec("building_type", "building_type", "category", "Order status", default="O"),
-    FeatureSpec("grade", "grade", "category", "Order priority", default="3-MEDIUM"),
-    FeatureSpec("acctbal", "acctbal", "number", "Account balance", -1000, 10000, default=0.0),
-    FeatureSpec("living_area", "living_area", "number", "Total quantity", 1, 300, default=100.0),
-    FeatureSpec("basement_area", "basement_area", "number", "Returned quantity", 0, 200, default=0.0),
-    FeatureSpec("rooms", "rooms", "integer", "Line count", 1, 10, default=4),
-    FeatureSpec("frontage", "frontage", "number", "Max discount", 0, 0.1, default=0.05),
-    FeatureSpec("first_ship_year", "first_ship_year", "integer", "First ship year", 1990, 2010, default=1998),
-    FeatureSpec("last_ship_year", "last_ship_year", "integer", "Last ship year", 1990, 2010, default=1998),
-    FeatureSpec("sold_year", "sold_year", "integer", "Valuation year", 1992, 2001, default=2001),
-)
+#: Contract of the derived sales table, as the queries and streams use it.
+SALES_CONTRACT = T.StructType([
+    entry("neighborhood", T.StringType(), "Nation", "FRANCE"),
+    entry("zoning", T.StringType(), "Market segment", "BUILDING"),
+    entry("building_type", T.StringType(), "Order status", "O"),
+    entry("grade", T.StringType(), "Order priority", "3-MEDIUM"),
+    entry("acctbal", T.DoubleType(), "Account balance", 0.0, -1000, 10000),
+    entry("living_area", T.DoubleType(), "Total quantity", 100.0, 1, 300),
+    entry("basement_area", T.DoubleType(), "Returned quantity", 0.0, 0, 200),
+    entry("rooms", T.IntegerType(), "Line count", 4, 1, 10),
+    entry("frontage", T.DoubleType(), "Max discount", 0.05, 0, 0.1),
+    entry("first_ship_year", T.IntegerType(), "First ship year", 1998, 1990, 2010),
+    entry("last_ship_year", T.IntegerType(), "Last ship year", 1998, 1990, 2010),
+    entry("sold_year", T.IntegerType(), "Valuation year", 2001, 1992, 2001),
+])
 SALES_RULES: tuple[CrossRule, ...] = (
-    CrossRule("first_ship_year", "<=", "sold_year", "first_ship_year cannot be after sold_year"),
-    CrossRule("last_ship_year", ">=", "first_ship_year", "last_ship_year cannot be before first_ship_year"),
-    CrossRule("last_ship_year", "<=", "sold_year", "last_ship_year cannot be after sold_year"),
+    CrossRule("first_ship_year", "<=", "sold_year", "first_ship_year lies past sold_year"),
+    CrossRule("last_ship_year", ">=", "first_ship_year", "last_ship_year lies ahead of first_ship_year"),
+    CrossRule("last_ship_year", "<=", "sold_year", "last_ship_year lies past sold_year"),
 )

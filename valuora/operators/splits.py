@@ -27,7 +27,7 @@ def temporal_split(df: DataFrame, year: str, holdout_year: int, split_col: str =
     Returns the input with ``split_col`` (use :func:`split_parts` to separate).
     """
     if year not in df.columns:
-        raise SplitError(f"Temporal split requires {year!r}")
+        raise SplitError(f"there is no column {year!r} to split by")
     y = F.col(year).cast("int")
     stats = df.agg(
         F.sum((y == holdout_year).cast("long")).alias("n_holdout"),
@@ -35,11 +35,11 @@ def temporal_split(df: DataFrame, year: str, holdout_year: int, split_col: str =
         F.array_sort(F.collect_set(F.when(y > holdout_year, y))).alias("future"),
     ).first()
     if not stats["n_holdout"]:
-        raise SplitError(f"No rows found for holdout year {holdout_year}")
+        raise SplitError(f"the input has nothing from {holdout_year}, the year to hold out")
     if stats["future"]:
-        raise SplitError(f"Rows newer than the holdout year are not allowed: {stats['future']}")
+        raise SplitError(f"the input reaches past {holdout_year}: {stats['future']}")
     if not stats["n_dev"]:
-        raise SplitError("Temporal split produced an empty partition")
+        raise SplitError(f"the input has nothing before {holdout_year} to train on")
     return df.withColumn(split_col, F.when(y < holdout_year, "development").otherwise("holdout"))
 
 
@@ -71,7 +71,7 @@ def expanding_folds(df: DataFrame, year: str, validation_years: Sequence[int], c
         }
         for v in validation_years:
             if not counts.get((v, "train")) or not counts.get((v, "validate")):
-                raise SplitError(f"Cannot construct temporal fold for {v}")
+                raise SplitError(f"{v}: a fold needs rows of that year and of earlier ones")
     return tagged
 
 

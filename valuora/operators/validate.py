@@ -28,8 +28,8 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise SchemaError(
-            f"Input does not match the expected schema. Missing columns: {missing}. "
-            f"Got {len(df.columns)} columns, first few: {df.columns[:10]}."
+            f"{len(missing)} required column(s) absent: {', '.join(missing)}; "
+            f"the input has {', '.join(df.columns[:10])}{', ...' if len(df.columns) > 10 else ''}"
         )
 
 

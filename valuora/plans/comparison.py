@@ -30,7 +30,7 @@ from valuora.operators.splits import expanding_folds
 PRODUCTION_COMPLEXITY = {"ridge": 1, "elastic_net": 2, "gradient_boosting": 3, "hist_gradient_boosting": 4}
 MIN_IMPROVEMENT = 0.20
 BASELINE = "baseline"
-SELECTION_RULE = "least complex model within one SE; require 20% baseline improvement"
+SELECTION_RULE = "simplest candidate whose error is within one standard error of the best; the median unless 20% is gained"
 
 
 def _fit_closed_form(train: DataFrame, label: str, univariate: Mapping[str, str], method: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,10 +78,42 @@ def read_or_materialise(
         return cached
     fresh = build()
     require_columns(fresh, required_columns)
-    write_parquet(fresh, cache_path)
+    if force:
+        write_parquet(fresh, cache_path)
+    else:
+        staged = f"{cache_path.rstrip('/')}-{uuid.uuid4().hex[:12]}"
+        write_parquet(fresh, staged)
+        if not _publish(spark, staged, cache_path):
+            return read_parquet(spark, staged)
     return read_parquet(spark, cache_path)
 
 
+def _publish(spark: SparkSession, staged: str, path: str) -> bool:
+    """Rename ``staged`` to ``path``; False when another job has published it first."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    no_overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        files.rename(jvm.org.apache.hadoop.fs.Path(staged), target, no_overwrite)
+    except Py4JJavaError as exc:
+        if not _path_exists(spark, path):
+            raise exc
+        return False
+    return True
+
+
+def input_state(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Digest of the paths, sizes and modification times of all files below ``paths``.
+
+    File contents are not read (the columns are pruned); one row comes back.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    one = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    row = listed.select(one.alias("h")).agg(F.count("h").alias("n"), F.sum("h").alias("h")).first()
+    return hashlib.md5(f"{sorted(paths)} {row['n']} {row['h']}".encode()).hexdigest()[:16]
+
+
 def save_split(df: DataFrame, path: str, split_col: str = "split") -> None:
     """Persist both partitions of a split in one write, partitioned by split."""
     write_parquet(df, path, partition_by=[split_col])
@@ -137,27 +172,36 @@ def read_requests(
     schema: T.StructType,
     corrupt_col: str = "_corrupt_record",
 ) -> DataFrame:
-    """JSON request documents parsed into the contract schema.
-
-    Malformed documents keep their raw text in ``corrupt_col``; keys outside
-    the contract are listed in ``extra_keys`` (the contract rejects them).
-    """
-    full = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
+    """JSON request documents, one a line, under the contract's names (see
+    :func:`parse_requests`)."""
     raw = spark.read.text(path).withColumnRenamed("value", "__raw")
-    return parse_requests(raw, "__raw", full, corrupt_col)
+    return parse_requests(raw, "__raw", schema, corrupt_col)
 
 
 def parse_requests(df: DataFrame, text_col: str, schema: T.StructType, corrupt_col: str = "_corrupt_record",
                    keep: Sequence[str] = ()) -> DataFrame:
-    """S12 on a column of JSON text (batch or stream); ``keep`` passes columns through."""
-    contract = T.StructType([f for f in schema.fields if f.name != corrupt_col])
-    names = [f.name for f in contract.fields]
-    parsed = F.from_json(F.col(text_col), contract, {"mode": "PERMISSIVE"})
+    """S12 on a column of JSON text (batch or stream); ``keep`` passes columns through.
+
+    Every contract field comes back as the text of its value, so that validation
+    can tell a bad value from an absent one and the contract's types are applied
+    only afterwards.  ``mistyped`` lists text fields given as another JSON type,
+    ``extra_keys`` the keys outside the contract; documents that are no JSON
+    object keep their text in ``corrupt_col``.
+    """
+    plain = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    parsed = F.from_json(F.col(text_col), plain, {"mode": "PERMISSIVE"})
     keys = F.json_object_keys(F.col(text_col))
-    extra = F.filter(keys, lambda k: ~F.array_contains(F.array(*[F.lit(n) for n in names]), k))
+    known = F.array(*[F.lit(n) for n in plain.names])
+    document = F.try_parse_json(text_col)
+    kinds = [
+        (f.name, F.schema_of_variant(F.try_variant_get(document, f"$.{f.name}", "variant")))
+        for f in schema if isinstance(f.dataType, T.StringType)
+    ]
+    wrong = F.array(*[F.when(~kind.isin("STRING", "VOID"), F.lit(name)) for name, kind in kinds])
     return df.select(
         *keep,
         parsed.alias("__req"),
         F.when(keys.isNull(), F.col(text_col)).alias(corrupt_col),
-        F.coalesce(extra, F.array().cast("array<string>")).alias("extra_keys"),
-    ).select(*keep, "__req.*", corrupt_col, "extra_keys")
+        F.coalesce(F.filter(keys, lambda k: ~F.array_contains(known, k)), F.array().cast("array<string>")).alias("extra_keys"),
+        F.array_compact(wrong.cast("array<string>")).alias("mistyped"),
+    ).select(*keep, "__req.*", corrupt_col, "extra_keys", "mistyped")

@@ -211,6 +211,7 @@ sale_ev AS (
 )"""
 
 
+SALES_INPUTS = ("customer", "lineitem", "nation", "orders")
 SALES_COLUMNS = ("sale_id", "sold_year", "neighborhood", "zoning", "building_type", "grade", "acctbal", "living_area",
                  "basement_area", "rooms", "frontage", "first_ship_year", "last_ship_year", "market_price", "sale_price")
 
@@ -219,12 +220,12 @@ def sales_source(spark: SparkSession, sf_dir: str, force: bool = False) -> DataF
     """S4 for the derived table: read the materialised ``sales`` table from the
     shared checkpoint folder when present, else derive it once and write it
     (the required-column guard runs both ways).  Every report over the same
-    inputs then scans one columnar table instead of re-running the joins."""
-    import hashlib
-
+    inputs then scans one columnar table instead of re-running the joins.  The
+    copy is named after paths, sizes and times of the input files, so changed
+    inputs are derived anew."""
     from valuora.session import checkpoint_root
-    from valuora.sources.files import read_or_materialise
+    from valuora.sources.files import input_state, read_or_materialise
 
-    key = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:16]
-    path = f"{checkpoint_root(spark)}/sales-{key}"
+    state = input_state(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SALES_INPUTS])
+    path = f"{checkpoint_root(spark)}/sales-{state}"
     return read_or_materialise(spark, path, lambda: sales_table(spark, sf_dir), SALES_COLUMNS, force)

@@ -173,8 +173,7 @@ def run_to_the_end(spark: SparkSession, build, schema: T.StructType, ts: str, ou
 def scoring_stream(
     spark: SparkSession,
     requests_path: str,
-    request_schema: T.StructType,
-    specs: Sequence[K.FeatureSpec],
+    contract: T.StructType,
     rules: Sequence[K.CrossRule],
     predict,
     calibration: DataFrame,
@@ -191,15 +190,15 @@ def scoring_stream(
     from valuora.sources.files import parse_requests
 
     raw = spark.readStream.text(requests_path).withColumnRenamed("value", "__raw")
-    parsed = parse_requests(raw, "__raw", request_schema, keep=["__raw"])
-    checked = K.validate(parsed, specs, rules, extra_keys="extra_keys")
+    parsed = parse_requests(raw, "__raw", contract, keep=["__raw"])
+    checked = K.validate(parsed, contract, rules, extra_keys="extra_keys", mistyped="mistyped")
     checked = checked.withColumn("violations", F.when(F.col("_corrupt_record").isNotNull(),
                                                       F.array(F.lit("malformed document"))).otherwise(F.col("violations")))
-    valid = checked.where(F.size("violations") == 0).select(*K.clean(specs))
+    valid = checked.where(F.size("violations") == 0).select(*K.clean(contract))
     scored = P.response(P.score(predict(valid), calibration), model_version)
     answer = scored.select(
         F.lit("valid").alias("route"),
-        F.to_json(F.struct(*[F.col(s.name) for s in specs])).alias("request"),
+        F.to_json(F.struct(*[F.col(s.name) for s in contract])).alias("request"),
         "predicted_price_2010_usd", "interval_90_low", "interval_90_high", "inflation_adjusted_reference_usd",
         F.array_join("response_warnings", " | ").alias("detail"),
     )
