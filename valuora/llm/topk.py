@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from valuora.llm.common import materialize, shipped
 
 EXACT = float(1 << 53)
+EXACT_FLOAT = float(1 << 24)
 
 
 def quantized(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 64.0) -> DataFrame:
@@ -43,11 +44,14 @@ def _matrix(vectors: list) -> np.ndarray:
     return out
 
 
-def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+def accumulate(queries: np.ndarray, candidates: np.ndarray, tile: int = 32) -> np.ndarray:
     """Integer scores of all queries (rows) against all candidates, term at a time.
 
-    Terms beyond a shorter vector weigh zero.  Doubles are exact as long as no
-    sum can reach 2^53; beyond that, Python integers take over.
+    Candidates are inverted once: a term's postings are its column of weights, or
+    the positions of the non-zero ones where few have it.  Queries go through the
+    terms ``tile`` at a time, so their score rows stay in the processor's cache.
+    Terms beyond a shorter vector weigh zero.  Sums are exact: floats hold every
+    integer below 2^24, doubles below 2^53; beyond that, Python integers take over.
     """
     terms = min(queries.shape[1], candidates.shape[1])
     q, c = queries[:, :terms], candidates[:, :terms]
@@ -55,13 +59,22 @@ def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     if largest >= EXACT:
         whole = [[sum(int(a) * int(b) for a, b in zip(x, y)) for y in c] for x in q]
         return np.array(whole, dtype=object).reshape(len(q), len(c))
-    scores = np.zeros((len(q), len(c)))
-    for t in range(terms):
-        rows, columns = np.flatnonzero(q[:, t]), np.flatnonzero(c[:, t])
-        if len(rows) == len(q) and len(columns) == len(c):
-            scores += np.outer(q[:, t], c[:, t])
-        elif len(rows) and len(columns):
-            scores[np.ix_(rows, columns)] += np.outer(q[rows, t], c[columns, t])
+    kind = np.float32 if largest < EXACT_FLOAT else np.float64
+    weights = np.ascontiguousarray(c.T, dtype=kind)
+    postings = [np.flatnonzero(w) if np.count_nonzero(w) < len(w) / 8 else None for w in weights]
+    scores = np.zeros((len(q), len(c)), dtype=kind)
+    for start in range(0, len(q), tile):
+        part = np.ascontiguousarray(q[start : start + tile].T, dtype=kind)
+        rows = scores[start : start + tile]
+        product = np.empty_like(rows)
+        for t in range(terms):
+            hit = np.flatnonzero(part[t])
+            if not len(hit):
+                continue
+            if postings[t] is None:
+                rows += np.multiply(part[t][:, None], weights[t], out=product)
+            else:
+                rows[np.ix_(hit, postings[t])] += np.multiply.outer(part[t][hit], weights[t][postings[t]])
     return scores
 
 
@@ -69,23 +82,31 @@ def best(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) ->
     """(query, candidate, score) of each query's k best, its own id left out; ties to the smaller id."""
     order = np.argsort(ids, kind="stable")
     ids, scores = ids[order], scores[:, order]
-    out = []
-    for query, row in zip(query_ids.tolist(), scores):
-        found = np.flatnonzero(ids != query)
-        if len(found) > k:
-            values = row[found]
-            bar = np.partition(values, len(found) - k)[len(found) - k] if values.dtype != object else sorted(values)[-k]
-            found = found[values >= bar]
-        top = sorted(((-int(row[i]), int(ids[i])) for i in found))[:k]
-        out += [(query, c, -s) for s, c in top]
-    return out
+    if scores.dtype == object:
+        out = []
+        for query, row in zip(query_ids.tolist(), scores):
+            top = sorted((-int(s), int(i)) for s, i in zip(row, ids) if i != query)[:k]
+            out += [(query, i, -s) for s, i in top]
+        return out
+    own = query_ids[:, None] == ids
+    scores = np.where(own, -np.inf, scores)
+    keep = ~own
+    if len(ids) > k:
+        keep &= scores >= np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k, None]
+    rows, columns = np.nonzero(keep)
+    values = scores[rows, columns].astype(np.int64)
+    ranked = np.lexsort((columns, -values, rows))
+    rows, columns, values = rows[ranked], columns[ranked], values[ranked]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    top = place < k
+    return list(zip(query_ids[rows[top]].tolist(), ids[columns[top]].tolist(), values[top].tolist()))
 
 
 RESULT = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
 LIMIT = (1 << 63) - 1
 
 
-def search(vectors: DataFrame, every: int = 20, k: int = 20, query_block: int = 512, candidate_block: int = 1024) -> DataFrame:
+def search(vectors: DataFrame, every: int = 20, k: int = 20, query_block: int = 512, candidate_block: int = 2048) -> DataFrame:
     """Top ``k`` of every vector whose id is divisible by ``every``, against all others.
 
     ``vectors`` is the output of :func:`quantized`.  Gives query_id, rank, vec_id,
