@@ -109,6 +109,32 @@ def test_fit_budget_on_large_sources():
         assert (taken <= counts).all() and abs(budget - int((taken * lengths).sum())) <= 1
 
 
+def test_fit_budget_on_very_long_documents():
+    """Sources of few documents above the window reach what brute force reaches."""
+    def miss(lengths, counts, budget):
+        taken = mixing.fit_budget(np.array(lengths), np.array(counts), budget)
+        assert (taken <= counts).all() and (taken >= 0).all()
+        return abs(budget - int((taken * lengths).sum()))
+
+    assert miss([100_000], [3], 290_000) == 10_000
+    assert miss([100_000], [1], 90_000) == 10_000 and miss([100_000], [1], 40_000) == 40_000
+    assert miss([60_000, 100_000], [3, 2], 180_000) == 0  # the proportional share alone rules this out
+    rng = random.Random(6)
+    for _ in range(60):
+        lengths = sorted(rng.sample(range(500, 200_000), rng.randint(1, 4)))
+        counts = [rng.randint(1, 3) for _ in lengths]
+        size = sum(a * n for a, n in zip(lengths, counts))
+        reach = {0}
+        for length, n in zip(lengths, counts):
+            reach = {s + k * length for s in reach for k in range(n + 1)}
+        budget = rng.randint(0, size)
+        assert miss(lengths, counts, budget) == min(abs(s - budget) for s in reach)
+    books = np.random.default_rng(7).integers(40_000, 400_000, size=2_000)
+    lengths, counts = np.unique(books, return_counts=True)
+    for share in (0.1, 0.5, 0.93):
+        assert miss(lengths, counts, int(books.sum() * share)) <= 1
+
+
 def plain_targets(sizes, weights=(5, 2, 1), repeat=3.0):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}

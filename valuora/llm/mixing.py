@@ -4,7 +4,8 @@ Each source gets a share of a word budget.  Whole passes over a source cover
 the target's integer part; what remains is a budget smaller than the source,
 which is met by choosing how many documents of each exact length to take:
 a proportional share of every length first, then a bounded-knapsack dynamic
-program over the words that are left.  Which documents of a length are taken is
+program over the words that are left; sources of few, very long documents are
+chosen again by their reachable sums.  Which documents of a length are taken is
 decided by a seeded hash.
 
 Only the (source, length) histogram is ever grouped by source; documents
@@ -122,12 +123,94 @@ def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     return taken
 
 
+def reachable(lengths: np.ndarray, counts: np.ndarray, top: int, most: int):
+    """Sums up to ``top`` as a sorted array, the lot that first reached each, the lots, and
+    whether all are there: no lot is added that makes more than ``most`` sums."""
+    sums, first, lots = np.zeros(1, dtype=np.int64), np.full(1, -1, dtype=np.int32), []
+    for i, (length, count) in enumerate(zip(lengths.tolist(), counts.tolist())):
+        if length <= 0 or length > top:
+            continue
+        count, lot = min(count, top // length), 1
+        while count > 0:
+            lot = min(lot, count)
+            more = sums + lot * length
+            more = more[: np.searchsorted(more, top, side="right")]
+            fresh = more[sums[np.minimum(np.searchsorted(sums, more), len(sums) - 1)] != more]
+            if len(sums) + len(fresh) > most:
+                return sums, first, lots, False
+            if len(fresh):
+                merged = np.concatenate([sums, fresh])
+                order = np.argsort(merged, kind="stable")
+                first = np.concatenate([first, np.full(len(fresh), len(lots), dtype=np.int32)])[order]
+                sums = merged[order]
+                lots.append((i, lot))
+            count, lot = count - lot, lot * 2
+    return sums, first, lots, True
+
+
+def sparse_knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int, most: int) -> tuple[np.ndarray, bool]:
+    """``knapsack`` for budgets too wide for a bit set: the lengths in two halves, the sums
+    each reaches, and the nearest pair.  Also says whether both halves are whole."""
+    taken, top = np.zeros(len(lengths), dtype=np.int64), 2 * budget
+    held = np.flatnonzero(counts)
+    halves = [held[::2], held[1::2]]
+    sides = [reachable(lengths[h], counts[h], top, most) for h in halves]
+    one, two = sides[0][0], sides[1][0]
+    after = np.searchsorted(two, budget - one)
+    below, above = two[np.maximum(after - 1, 0)], two[np.minimum(after, len(two) - 1)]
+    other = np.where(np.abs(budget - one - above) < np.abs(budget - one - below), above, below)
+    at = int(np.argmin(np.abs(budget - one - other)))
+    for half, (sums, first, lots, _), rest in zip(halves, sides, (int(one[at]), int(other[at]))):
+        while rest > 0:
+            i, lot = lots[first[np.searchsorted(sums, rest)]]
+            taken[half[i]] += lot
+            rest -= lot * int(lengths[half[i]])
+    return taken, sides[0][3] and sides[1][3]
+
+
+def some_of(counts: np.ndarray, most: int) -> np.ndarray:
+    """About ``most`` of the counted documents, spread over the lengths; all of them if no more are there."""
+    if counts.sum() <= most:
+        return counts.copy()
+    held, out = np.flatnonzero(counts), np.zeros_like(counts)
+    if len(held) > most:
+        out[held[np.linspace(0, len(held) - 1, most).astype(int)]] = 1
+    else:
+        out[held] = np.minimum(counts[held], -(-most // len(held)))
+    return out
+
+
+def refit(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int, most: int = 1 << 20) -> np.ndarray:
+    """``taken`` brought nearer to ``budget`` by giving some documents back and choosing
+    again among them and the open ones: a few at first, then four times as many, until the
+    sum is as near as their common divisor allows, every document took part (no subset is
+    nearer; always so up to 40 documents of different lengths), or half of those taking
+    part reach more than ``most`` sums.
+    """
+    best, free = taken, 5
+    worded = np.where(lengths > 0, counts, 0)
+    step = int(np.gcd.reduce(lengths[worded > 0]))  # every sum is a multiple
+    least = min(budget % step, -budget % step)
+    held = np.minimum(taken, worded)
+    while True:
+        back, more = some_of(held, free), some_of(worded - held, free)
+        want, whole = budget - int(((taken - back) * lengths).sum()), True
+        if want > 0:
+            chosen, whole = sparse_knapsack(lengths, back + more, want, most)
+            trial = taken - back + chosen
+            best = min(best, trial, key=lambda t: abs(budget - int((t * lengths).sum())))
+        if abs(budget - int((best * lengths).sum())) == least or not whole or (back + more == worded).all():
+            return best
+        free *= 4
+
+
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = 16384) -> np.ndarray:
     """Documents of each length to take for ``budget`` words (0 <= budget <= all words).
 
     Every length gives its proportional share, rounded down; longest lengths then
     give one batch more while more than ``window`` words are missing; the dynamic
-    program spends the last words.
+    program spends the last words.  What that cannot meet, as documents are too long
+    for the window, is chosen again with documents of the share given back.
     """
     size = int((lengths * counts).sum())
     if budget <= 0 or size <= 0:
@@ -143,7 +226,11 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int
         if more > 0:
             taken[i] += more
             left -= more * int(lengths[i])
-    return taken + knapsack(lengths, counts - taken, min(left, max(window, 1)))
+    if left <= max(window, 1):
+        taken = taken + knapsack(lengths, counts - taken, left)
+    if size > window and int((taken * lengths).sum()) != budget:
+        taken = refit(lengths, counts, taken, budget)
+    return taken
 
 
 def decide(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), repeat: float = 3.0, seed: int = 7,
