@@ -172,6 +172,29 @@ def test_guess_spans_need_a_context_and_a_costly_value():
     assert find("password: welcome2019") == [] and find("v9#Kq!27xz&Lm stands alone") == []
 
 
+def test_prefixed_names_and_values_with_symbols(spark):
+    texts = {
+        1: ('DB_PASSWORD="h7$kQ!9zP@x" on', 'DB_PASSWORD="[SECRET]" on'),
+        2: ("DB_PASSWORD=abcdef!Rest on", "DB_PASSWORD=[SECRET] on"),
+        3: ("password=abcdef!Rest on", "password=[SECRET] on"),
+        4: ("AWS_SECRET_ACCESS_KEY=wJ4l/XUt9FEMI+K7MDq on", "AWS_SECRET_ACCESS_KEY=[SECRET] on"),
+        5: ("DJANGO_SECRET_KEY='z#4v!q9@Lk2$xw' on", "DJANGO_SECRET_KEY='[SECRET]' on"),
+        6: ("MY_PRIVATE_KEY=q8Zk3vX0pT7wNf2y on", "MY_PRIVATE_KEY=[SECRET] on"),
+        7: ("DB_PWD=v9#Kq!27xz&Lm on", "DB_PWD=[SECRET] on"),
+        8: ("dbPwd: v9#Kq!27xz&Lm on", "dbPwd: [SECRET] on"),
+        9: ("PGPASSWORD=$9#Kq!27xz&Lm on", "PGPASSWORD=[SECRET] on"),
+        10: ("compass: v9#Kq!27xz&Lm on", "compass: v9#Kq!27xz&Lm on"),
+        11: ("DB_PWD=welcome2019 on", "DB_PWD=welcome2019 on"),
+    }
+    docs = spark.createDataFrame(
+        [(i, a, "en", "web", len(a)) for i, (a, _) in texts.items()],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r["doc_id"]: r["text"] for r in corpus_pipeline.secrets_stage(spark, docs, "").collect()}
+    assert out == {i: b for i, (_, b) in texts.items()}
+    spans = {r["doc_id"]: r["n_guess"] for r in secrets.scan(docs, queries.WORD_TOKENIZER).collect()}
+    assert [i for i, n in spans.items() if n] == [1, 4, 5, 6, 7, 8, 9]
+
+
 def test_secret_edges(spark, edge_docs, no_docs):
     rows = secrets.scan(edge_docs, queries.WORD_TOKENIZER).collect()
     assert len(rows) == edge_docs.count()

@@ -35,9 +35,11 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, as a shorter one never passes
 
-#: Contexts whose value (the last group that matched) is priced.
+#: Contexts whose value (the last group that matched) is priced.  A name may have a prefix
+#: up to a sign, an underscore or a camel-case step; the names of ASSIGN any prefix.
 CONTEXT = re.compile(
-    r"""(?:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret(?:_?key)?|token|api_?key|access_?key|private_?key|client_?secret|credentials?|auth(?:_?key)?)["']?\x20*(?:[:=]|=>|\bis\b)\x20*)"""
+    r"""(?:(?:(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:pass(?:phrase|code)?|pwd|secret_?(?:access_?)?key|access_?key|private_?key|client_?secret|credentials?|auth(?:_?key)?)"""
+    r"""|password|passwd|secret|token|api_?key)["']?\x20*(?:[:=]|=>|\bis\b)\x20*)"""
     r"""(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"',;]{6,}))"""
     r"""|\b(?:bearer|basic)\x20+([A-Za-z0-9+/_.=~-]{6,})"""
     r"""|://[^\s:/@]+:([^\s/@]{6,})@""",
@@ -137,16 +139,16 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def guess_spans(text: str, words: dict[str, float], min_bits: float) -> list[tuple[str, int, int]]:
-    """Values in a credential context whose guess cost reaches ``min_bits``."""
+def context_values(text: str) -> list[tuple[int, int]]:
+    """Where the values of credential contexts stand."""
     if not HINT.search(text):
         return []
-    found = []
-    for m in CONTEXT.finditer(text):
-        at = m.lastindex
-        if guess_bits(m[at], words) >= min_bits:
-            found.append(("guess", m.start(at), m.end(at)))
-    return found
+    return [m.span(m.lastindex) for m in CONTEXT.finditer(text)]
+
+
+def guess_spans(text: str, words: dict[str, float], min_bits: float) -> list[tuple[str, int, int]]:
+    """Values in a credential context whose guess cost reaches ``min_bits``."""
+    return [("guess", a, b) for a, b in context_values(text) if guess_bits(text[a:b], words) >= min_bits]
 
 
 def show(spans: list[tuple[str, int, int]]) -> str:
@@ -186,11 +188,14 @@ def scan(docs: DataFrame, words_path: str, id_col: str = "doc_id", text_col: str
 
 def secret_spans(text: str | None, words: dict[str, float], min_bits: float) -> list[tuple[int, int]]:
     """What to hide in a text: values, merged where they overlap.  Of an assignment
-    only the value is hidden, so the line stays readable."""
+    only the value is hidden, so the line stays readable; a context's value of which a
+    part is hidden is hidden whole."""
     text = text or ""
     cuts = [(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     cuts += [(a, b) for k, a, b in base_spans(text) if k != "assign"]
-    cuts += [(a, b) for _, a, b in guess_spans(text, words, min_bits)]
+    for a, b in context_values(text):
+        if any(a < d and c < b for c, d in cuts) or guess_bits(text[a:b], words) >= min_bits:
+            cuts.append((a, b))
     merged: list[tuple[int, int]] = []
     for a, b in sorted(cuts):
         if merged and a < merged[-1][1]:
