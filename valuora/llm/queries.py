@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from valuora.llm import fingerprints, mixing, packing, quality, secrets, sharding, simhash, topk, toxicity, trie, warc
+from valuora.llm import fingerprints, mixing, negatives, packing, pii, quality, secrets, sharding, simhash, topk, toxicity, trie, warc
 from valuora.llm.common import map_columns, table
 
 #: Tokenizer files; the operators take paths, the queries name these.
@@ -99,11 +99,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         limit.alias("lang_threshold"), (F.col("score") >= limit).cast("int").alias("lang_predicted"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of the rebuilt conversations, with its subtree sums."""
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First negatives inside the score window of every anchor's positives."""
+    return negatives.hard_negatives(negatives.mining_rows(table(spark, sf_dir, "embeddings")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline of ``corpus_pipeline.py``."""
     import corpus_pipeline
@@ -114,7 +124,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_best_fit_packing, op2_simhash_near_dedup, op3_source_mixing, op4_warc_index, op5_jump_sharding,
              op6_ordinal_quality, op7_secret_scan, op8_bottom_k_fingerprints, op9_exact_topk, op10_toxicity,
-             op12_conversation_trie, pipeline]
+             op11_personal_data, op12_conversation_trie, op13_hard_negatives, pipeline]
     return {f.__name__: f for f in found}
 
 
