@@ -88,6 +88,16 @@ def read_or_materialise(
     return read_parquet(spark, cache_path)
 
 
+def stored_once(spark: SparkSession, path: str, write) -> str:
+    """Where the content that ``write(staged_path)`` makes is stored: ``path``, published by one
+    rename, or the staged folder if another job was first."""
+    if _path_exists(spark, path):
+        return path
+    staged = f"{path.rstrip('/')}-{uuid.uuid4().hex[:12]}"
+    write(staged)
+    return path if _publish(spark, staged, path) else staged
+
+
 def _publish(spark: SparkSession, staged: str, path: str) -> bool:
     """Rename ``staged`` to ``path``; False when another job has published it first."""
     jvm = spark.sparkContext._jvm
