@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import os
 import shutil
 import tempfile
@@ -81,9 +83,35 @@ def checkpoint_root(spark: SparkSession) -> str:
     return local
 
 
+_MADE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch_made", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path below the checkpoint root for a written intermediate."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_made():
+    """The scratch paths that this thread hands out inside the block, as a list."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+
+
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that no later job reads."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
 
 
 def ship_package(spark: SparkSession) -> None:
