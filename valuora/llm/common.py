@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as pads
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from valuora.session import materialize, ship_package
+from valuora.session import materialize, scratch_path, ship_package
 
-__all__ = ["BATCH_BYTES", "table", "text_or_empty", "map_columns", "with_row_ids", "materialize", "byte_slices", "shipped", "smallest"]
+__all__ = ["BATCH_BYTES", "table", "text_or_empty", "map_columns", "with_row_ids", "materialize", "byte_slices", "shipped", "smallest",
+           "files_alone", "addressed", "repeated"]
 
 #: Python tasks cut their incoming Arrow batches so that one step holds about
 #: this many bytes of text, however long single texts are.
@@ -81,3 +85,69 @@ def smallest(rows: DataFrame, order: str, count: int, *ties: str) -> DataFrame:
     if bar is None:
         return rows.limit(0)
     return rows.where(F.col(order) <= bar).orderBy(order, *ties).limit(count)
+
+
+def files_alone(df: DataFrame) -> bool:
+    """Whether ``df`` is nothing but a read of files, so that each of its rows has a place in one."""
+    return df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+
+
+def addressed(df: DataFrame, name: str) -> tuple[DataFrame, str, str]:
+    """``df`` with two more columns that tell its rows apart (also repeated ones): a number for
+    the file and the row's place in it; and the names of these columns.
+
+    A plain read of files has them already.  Anything else is written first.
+    """
+    if not files_alone(df):
+        df = materialize(df, name)
+    file, place = "_file", "_place"
+    while file in df.columns or place in df.columns:
+        file, place = f"_{file}", f"_{place}"
+    hidden = df.metadataColumn("_metadata")
+    return df.select("*", F.xxhash64(hidden["file_path"]).alias(file), hidden["row_index"].alias(place)), file, place
+
+
+def repeated(rows: DataFrame, file: str, place: str, marks: DataFrame, name: str) -> DataFrame:
+    """Rows of :func:`addressed`, each as often as ``marks`` (file, place, copies) says; others go.
+
+    The rows themselves never move: marks are written in one folder per input file, sorted by
+    place, and the task that reads a part of the file looks up the marks of that part.
+    """
+    path = scratch_path(rows.sparkSession, name)
+    (marks.select(F.col(file).alias("file"), F.col(place).alias("place"), F.col("copies").cast("long").alias("copies"))
+     .repartitionByRange("file", "place").sortWithinPartitions("file", "place")
+     .write.option("parquet.block.size", 1 << 20).partitionBy("file").parquet(path))
+    schema = T.StructType(rows.schema.fields[:-2])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = pafs.FileSystem.from_uri(path)
+        held: dict[int, pads.Dataset | None] = {}
+
+        def copies(number: int, places: np.ndarray) -> np.ndarray:
+            if number not in held:
+                folder = f"{base}/file={number}"
+                known = fs.get_file_info(folder).type == pafs.FileType.Directory
+                held[number] = pads.dataset(folder, filesystem=fs, format="parquet", schema=pa.schema([("place", pa.int64()), ("copies", pa.int64())])) if known else None
+            if held[number] is None:
+                return np.zeros(len(places), dtype=np.int64)
+            at = pads.field("place")
+            found = held[number].to_table(filter=(at >= int(places.min())) & (at <= int(places.max()))).sort_by("place")
+            marked, times = found["place"].to_numpy(), found["copies"].to_numpy()
+            if not len(marked):
+                return np.zeros(len(places), dtype=np.int64)
+            spot = np.minimum(np.searchsorted(marked, places), len(marked) - 1)
+            return np.where(marked[spot] == places, times[spot], 0)
+
+        for batch in batches:
+            for part in byte_slices(batch):
+                numbers, places = (c.to_numpy() for c in part.columns[-2:])
+                times = np.zeros(len(places), dtype=np.int64)
+                for number in np.unique(numbers).tolist():
+                    mine = numbers == number
+                    times[mine] = copies(number, places[mine])
+                if times.any():
+                    kept = part.take(pa.array(np.repeat(np.arange(len(times)), times)))
+                    yield pa.RecordBatch.from_arrays(kept.columns[:-2], schema=arrow)
+
+    return shipped(rows).mapInArrow(run, schema)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from valuora.llm.common import materialize, shipped, with_row_ids
+from valuora.llm.common import addressed, materialize, repeated, shipped, with_row_ids
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -298,10 +298,9 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: rows of ``docs``, repeated as often as they are taken."""
-    held = with_row_ids(docs.select(F.struct("*").alias("_doc")), "mix-input")
-    field = lambda c: F.col("_doc").getField(c)
-    rows = held.select("_row", field(id_col).alias("doc_id"), field(source_col).alias("source"),
-                       word_count(field(text_col)).alias("size"), F.xxhash64(field(text_col)).alias("_tie"))
-    copies = decide(materialize(rows, "mix-rows"), **options).where("copies > 0").select("_row", "copies")
-    taken = held.join(copies, "_row").select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"))
-    return taken.select("_doc.*")
+    held, file, place = addressed(docs, "mix-input")
+    rows = held.select(F.struct(F.col(file).alias("file"), F.col(place).alias("place")).alias("_row"), F.col(id_col).alias("doc_id"),
+                       F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("_tie"))
+    marks = decide(materialize(rows, "mix-rows"), **options).where("copies > 0").select(
+        F.col("_row.file").alias(file), F.col("_row.place").alias(place), "copies")
+    return repeated(held, file, place, marks, "mix-copies")

@@ -14,11 +14,13 @@ their pieces are packed together in a second round.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -30,11 +32,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from valuora.llm.common import byte_slices, materialize, shipped
 
-MEMO_WORDS = 800_000
+MEMO_WORDS = 300_000
 LONG_WORD = 48
-ENCODE_WORDS = 1024
+ENCODE_WORDS = 2048
 WORD_END = "</w>"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+#: Signs that make token runs of their own behind a letter; none occurs in a special token's
+#: string, and an apostrophe would begin a contraction.
+_SIGNS = b".,!?;:$%&*#"
 
 
 class WordTokenizer:
@@ -42,9 +47,10 @@ class WordTokenizer:
 
     For a lower-casing tokenizer that never joins text across ASCII white space,
     the ids of a text are those of its words in order, so words are looked up in
-    a bounded memo and only new ones go through the tokenizer.  A last ``.`` or
-    ``,`` after an ASCII letter is a token run of its own, so it is coded apart.
-    Texts that may hold a special token's string keep their case.
+    a memo and only new ones go through the tokenizer.  Signs at a word's end, after an
+    ASCII letter, are a token run of their own, so they are coded apart.  Texts that may hold
+    a special token's string keep their case.  The memo has two generations: when the young
+    one is full it becomes the old one, and words still in use move over.
     """
 
     def __init__(self, path: str) -> None:
@@ -52,6 +58,11 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        # letters that normalisation leaves as they are need neither it nor the splitting pattern
+        plain = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+            {"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
+        self.plain = Tokenizer.from_str(json.dumps(plain))
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
@@ -66,7 +77,10 @@ class WordTokenizer:
             (letters if w.isalpha() or w.decode().isalpha() else rest).append(w)
         for at in range(0, len(letters), ENCODE_WORDS):
             some = letters[at : at + ENCODE_WORDS]
-            ids = np.array(self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, dtype="<u4")
+            text = b" ".join(some).decode()
+            simple = max(text) < "\u0250" and text == text.lower() and is_normalized("NFC", text)
+            coder = self.plain if simple else self.tokenizer
+            ids = np.array(coder.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
             stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(stops) != len(some) or stops[-1] != 4 * len(ids):
                 rest += some
@@ -83,24 +97,25 @@ class WordTokenizer:
     def texts(self, texts: list[str | None]) -> Iterator[bytes]:
         raw = [(t or "").encode() for t in texts]
         split = [(t if b"<|" in t else t.lower()).split() for t in raw]
+        if len(self.memo) > MEMO_WORDS:
+            self.memo, self.old = {}, self.memo
         memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
         new = set().union(*split).difference(memo)
-        stopped = {w for w in new if len(w) > 1 and w[-1:] in b".," and w[-2] in _LETTERS}
-        parts = {w[:-1] for w in stopped} | {w[-1:] for w in stopped} | (new - stopped)
+        known = [w for w in new if w in self.old] if self.old else []
+        memo.update(zip(known, map(self.old.__getitem__, known)))
+        new.difference_update(known)
+        stems = {w: w.rstrip(_SIGNS) for w in new if w[-1] in _SIGNS}
+        stopped = {w: s for w, s in stems.items() if s and s[-1] in _LETTERS}
+        parts = set(stopped.values()).union(w[len(s) :] for w, s in stopped.items()).union(new.difference(stopped))
         coded = self._encode([w for w in parts if w not in memo])
         ids = lambda w: coded[w] if w in coded else memo[w]
-        coded.update([(w, ids(w[:-1]) + ids(w[-1:])) for w in stopped])
-        long = {w: i for w, i in coded.items() if len(w) > LONG_WORD}
+        coded.update([(w, ids(s) + ids(w[len(s) :])) for w, s in stopped.items()])
         memo.update(coded)
-        for w in long:
-            del memo[w]
         for words in split:
-            if long:
-                yield b"".join([long[w] if w in long else memo[w] for w in words])
-            else:
-                yield b"".join(map(memo.__getitem__, words))
+            yield b"".join(map(memo.__getitem__, words))
+        for w in coded:
+            if len(w) > LONG_WORD:
+                del memo[w]
 
 
 @lru_cache(maxsize=2)

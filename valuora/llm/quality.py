@@ -24,13 +24,21 @@ from valuora.session import ship_package
 
 BITS = 16
 MEMO_WORDS = 300_000
+PIECE = 48
 _RUNS = re.compile(r"(.)\1+")
 
 
 def _shape(word: str) -> str:
     """Character classes of a word with runs collapsed: letters by case, digits, other characters as they are."""
-    kinds = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "l" if c.isalpha() else c for c in word[:64])
-    return _RUNS.sub(r"\1", kinds)[:8]
+    kinds = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "l" if c.isalpha() else c for c in word)
+    return _RUNS.sub(r"\1", kinds)
+
+
+def _pieces(words: list[str]) -> list[str]:
+    """``words`` with unbroken runs of over ``PIECE`` characters cut into pieces that cover them."""
+    if max(map(len, words)) <= PIECE:
+        return words
+    return [w[i : i + PIECE] for w in words for i in range(0, len(w), PIECE)]
 
 
 class TextHasher:
@@ -41,8 +49,7 @@ class TextHasher:
 
     def _word(self, word: str) -> int:
         code = zlib.crc32(word.lower().encode()) << 32 | zlib.crc32(b"shape " + _shape(word).encode())
-        if len(word) <= 48:
-            self.memo[word] = code
+        self.memo[word] = code
         return code
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -50,6 +57,7 @@ class TextHasher:
         words = (text or "").split()
         if not words:
             return np.zeros(1, dtype=np.int64), np.ones(1)
+        words = _pieces(words)
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         get, miss = self.memo.get, self._word
@@ -166,7 +174,11 @@ def train(rated: DataFrame, n_grades: int = 3, text_col: str = "text", grade_col
 
 
 def score(model: OrdinalModel, text: Column) -> Column:
-    """Struct of ``expected_grade``, ``tail`` (P(grade >= select_grade)) and ``keep`` for a text column."""
+    """Struct of ``expected_grade``, ``tail`` (P(grade >= select_grade)) and ``keep`` for a text column.
+
+    A null text counts as empty; an empty or blank one is graded by the bias feature alone;
+    runs without white space count by pieces of ``PIECE`` characters, to their end.
+    """
 
     ship_package(SparkSession.active())
 

@@ -52,7 +52,8 @@ DATE = re.compile(
     r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?"
     r"|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:(?:19|20)\d\d|\d\d)")
 MAX_WORD = 24
-CHUNK = 256
+NEXT = 16
+NEAR = 1e-9  # bits that rounding may differ by
 
 
 def _steps() -> set[str]:
@@ -83,51 +84,72 @@ def _char_bits(ch: str) -> float:
     return math.log2(33)
 
 
-def guess_bits(value: str, words: dict[str, float]) -> float:
-    """Bits of work to guess ``value`` by its cheapest segmentation.
+def guess_bits(value: str, words: dict[str, float], limit: float = math.inf) -> float:
+    """Bits of work to guess ``value`` by its cheapest segmentation, one program over the whole value.
 
-    Values over ``CHUNK`` characters are priced chunk by chunk (costs add up, and
-    one full chunk of anything but a repeat is already out of reach of guessing),
-    so work is linear in the length.
+    With ``limit``, the program ends once every way to go on costs at least that much, and gives
+    that lower bound; costs below ``limit`` are exact.  Words, dates and units are bounded.  A
+    repeat or a walk has up to ``NEXT`` units or steps, or goes to its end; it is offered from
+    the place where it begins, and from a later place only if that is reached more cheaply
+    than going on.  So work is linear in the length.
     """
-    if len(value) > CHUNK:
-        return sum(guess_bits(value[i : i + CHUNK], words) for i in range(0, len(value), CHUNK))
     low, n = value.lower(), len(value)
     best = [0.0] + [math.inf] * n
-    dates: dict[int, list[int]] = {}
-    for i in range(n):
-        if low[i].isdigit() and (m := DATE.match(low, i)):
-            dates.setdefault(i, []).append(m.end())
+    units = 16
+    # same[u]: how many characters from here on equal the ones u before them
+    same = [[0] * (n + 1) for _ in range(units + 1)]
+    for u in range(1, units + 1):
+        row = same[u]
+        for i in range(n - 1, u - 1, -1):
+            row[i] = row[i + 1] + 1 if low[i] == low[i - u] else 0
+    steps = [1] * (n + 1)  # characters of the walk that begins here
+    for i in range(n - 2, -1, -1):
+        steps[i] = steps[i + 1] + 1 if low[i : i + 2] in STEPS else 1
+    walk_bits = math.log2(len("".join(ROWS)) * 2)
+    repeats: dict[tuple[int, int], int] = {}
+    walk, far, check = -1, 0, 16
     for i in range(n):
+        if i == check:
+            if min(best[i : far + 1]) >= limit:
+                return min(best[i : far + 1])
+            check *= 2
         base, split = best[i], 1.0 if i else 0.0  # one bit names each further boundary
 
         def offer(end: int, bits: float, base=base, split=split) -> None:
+            nonlocal far
+            far = max(far, end)
             if base + split + bits < best[end]:
                 best[end] = base + split + bits
 
         # brute force: one more character of a span costs its class alone
         best[i + 1] = min(best[i + 1], base + _char_bits(value[i]))
+        far = max(far, i + 1)
         for end in range(i + 3, min(n, i + MAX_WORD) + 1):
             bits = words.get(low[i:end])
             if bits is not None:
                 part = value[i:end]
                 case = 0.0 if part == low[i:end] else 1.0 if part.istitle() or part.isupper() else float(len(part))
                 offer(end, bits + case)
-        for end in dates.get(i, ()):
-            offer(end, math.log2(150) + (math.log2(365) if end - i > 4 else 0.0))
-        run = i + 1
-        while run < n and low[run - 1 : run + 1] in STEPS:
-            run += 1
-            if run - i >= 3:
-                offer(run, math.log2(len("".join(ROWS)) * 2) + math.log2(run - i))
-        for unit in range(1, min(i, 16) + 1):  # what stands before, repeated
-            if low[i - unit : i] != low[i : i + unit]:
+        if low[i].isdigit() and (m := DATE.match(low, i)):
+            offer(m.end(), math.log2(150) + (math.log2(365) if m.end() - i > 4 else 0.0))
+        if steps[i] >= 3:
+            within = 0 <= walk < i < walk + steps[walk]
+            if not within or base + NEAR < best[walk] + math.log2((i + 3 - walk) / 3):
+                walk = i
+                for end in {*range(i + 3, i + min(steps[i], NEXT) + 1), i + steps[i]}:
+                    offer(end, walk_bits + math.log2(end - i))
+        for unit in range(1, min(i, units) + 1):  # what stands before, repeated
+            times = same[unit][i] // unit
+            if not times:
                 continue
-            end = i + unit
-            offer(end, 1.0)
-            while low[end : end + unit] == low[i : i + unit]:
-                end += unit
-                offer(end, 1.0 + math.log2((end - i) // unit))
+            key = (unit, i % unit)
+            lead = repeats.get(key, -1)
+            held = 0 <= lead < i and lead + same[unit][lead] >= i + unit
+            if held and base + NEAR >= best[lead] + math.log2((i - lead) // unit + 1):
+                continue  # going on from the lead is as cheap
+            repeats[key] = i
+            for k in {*range(1, min(times, NEXT) + 1), times}:
+                offer(i + k * unit, 1.0 + math.log2(k))
     return best[n]
 
 
@@ -148,7 +170,7 @@ def context_values(text: str) -> list[tuple[int, int]]:
 
 def guess_spans(text: str, words: dict[str, float], min_bits: float) -> list[tuple[str, int, int]]:
     """Values in a credential context whose guess cost reaches ``min_bits``."""
-    return [("guess", a, b) for a, b in context_values(text) if guess_bits(text[a:b], words) >= min_bits]
+    return [("guess", a, b) for a, b in context_values(text) if guess_bits(text[a:b], words, min_bits) >= min_bits]
 
 
 def show(spans: list[tuple[str, int, int]]) -> str:
@@ -194,7 +216,7 @@ def secret_spans(text: str | None, words: dict[str, float], min_bits: float) ->
     cuts = [(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     cuts += [(a, b) for k, a, b in base_spans(text) if k != "assign"]
     for a, b in context_values(text):
-        if any(a < d and c < b for c, d in cuts) or guess_bits(text[a:b], words) >= min_bits:
+        if any(a < d and c < b for c, d in cuts) or guess_bits(text[a:b], words, min_bits) >= min_bits:
             cuts.append((a, b))
     merged: list[tuple[int, int]] = []
     for a, b in sorted(cuts):

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from valuora.llm.common import map_columns, materialize, with_row_ids
+from valuora.llm.common import addressed, map_columns, materialize, repeated, with_row_ids
 
 MAX_DISTANCE = 2
 
@@ -213,18 +213,18 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Kept is the row with the smallest doc_id (nulls last; among repeated rows,
     one of them).  Columns and their names stay as they are.
     """
-    held = with_row_ids(docs.select(F.struct("*").alias("_doc")), "dedup-input")
-    source = held.select("_row", F.col("_doc").getField(text_col).alias("text"),
-                         F.col("_doc").getField(id_col).alias("doc_id"))
-    schema = T.StructType([T.StructField("_row", T.LongType()),
+    held, file, place = addressed(docs, "dedup-input")
+    source = held.select(F.col(file).alias("_file"), F.col(place).alias("_place"), F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"))
+    schema = T.StructType([T.StructField("_file", T.LongType()), T.StructField("_place", T.LongType()),
                            T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
 
     def make():
-        return lambda c: {"_row": c["_row"], "doc_id": c["doc_id"],
+        return lambda c: {"_file": c["_file"], "_place": c["_place"], "doc_id": c["doc_id"],
                           "fp": [_signed(simhash64(t, shingle_words)) for t in c["text"]]}
 
     fps = materialize(map_columns(source, make, schema), "dedup-fingerprints")
     rows = near_duplicates(fps)
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("_row"))
-    keep = rows.groupBy("root").agg(F.min(order).getField("_row").alias("_row")).select("_row")
-    return held.join(materialize(keep, "dedup-kept"), "_row", "left_semi").select("_doc.*")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("_file"), F.col("_place"))
+    keep = rows.groupBy("root").agg(F.min(order).alias("k")).select(
+        F.col("k._file").alias(file), F.col("k._place").alias(place), F.lit(1).alias("copies"))
+    return repeated(held, file, place, keep, "dedup-kept")

@@ -16,24 +16,28 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from valuora.llm.common import materialize, shipped
+from valuora.llm.common import shipped, with_row_ids
 
 EXACT = float(1 << 53)
 EXACT_FLOAT = float(1 << 24)
 
 
+NO_ID = (1 << 63) - 1
+
+
 def quantized(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 64.0) -> DataFrame:
-    """``(vec_id, vec)``: floor(scale * x) of each component, as doubles.
+    """Written table ``(_row, id, named, vec)``: floor(scale * x) of each component, as doubles.
 
-    Rows without id, with a null vector or with a null or non-finite component are
-    left out.  A repeated id counts once, with its smallest vector.
+    Rows with a null vector or a null or non-finite component are left out.  Every other row
+    takes part: repeated ids are candidates (and queries) of their own; a row without id
+    (``named`` false) is a candidate that comes last in ties.
     """
     fine = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).where(fine)
+    rows = vectors.where(F.col(vector_col).isNotNull()).where(fine)
     vec = F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale).cast("double"))
-    return rows.groupBy(F.col(id_col).alias("vec_id")).agg(F.min(vec).alias("vec"))
+    return with_row_ids(rows.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
+                                    F.col(id_col).isNotNull().alias("named"), vec.alias("vec")), "topk-vectors")
 
 
 def _matrix(vectors: list) -> np.ndarray:
@@ -78,60 +82,74 @@ def accumulate(queries: np.ndarray, candidates: np.ndarray, tile: int = 32) -> n
     return scores
 
 
-def best(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query, candidate, score) of each query's k best, its own id left out; ties to the smaller id."""
-    order = np.argsort(ids, kind="stable")
-    ids, scores = ids[order], scores[:, order]
+def best(scores: np.ndarray, order: np.ndarray, own: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """(query, candidate, score) by place: each query's k best, ties to the smaller ``order``.
+
+    ``own`` marks pairs of a row with itself, which are left out.
+    """
+    by = np.argsort(order, kind="stable")
+    scores, own = scores[:, by], own[:, by]
     if scores.dtype == object:
         out = []
-        for query, row in zip(query_ids.tolist(), scores):
-            top = sorted((-int(s), int(i)) for s, i in zip(row, ids) if i != query)[:k]
-            out += [(query, i, -s) for s, i in top]
+        for q, row in enumerate(scores):
+            top = sorted((-int(s), i) for i, s in enumerate(row) if not own[q, i])[:k]
+            out += [(q, int(by[i]), -s) for s, i in top]
         return out
-    own = query_ids[:, None] == ids
     scores = np.where(own, -np.inf, scores)
     keep = ~own
-    if len(ids) > k:
-        keep &= scores >= np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k, None]
+    if scores.shape[1] > k:
+        keep &= scores >= np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k, None]
     rows, columns = np.nonzero(keep)
     values = scores[rows, columns].astype(np.int64)
     ranked = np.lexsort((columns, -values, rows))
     rows, columns, values = rows[ranked], columns[ranked], values[ranked]
     place = np.arange(len(rows)) - np.searchsorted(rows, rows)
     top = place < k
-    return list(zip(query_ids[rows[top]].tolist(), ids[columns[top]].tolist(), values[top].tolist()))
+    return list(zip(rows[top].tolist(), by[columns[top]].tolist(), values[top].tolist()))
 
 
-RESULT = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
+RESULT = "query_row long, query_id long, id long, named boolean, row long, score long"
 LIMIT = (1 << 63) - 1
 
 
-def search(vectors: DataFrame, every: int = 20, k: int = 20, query_block: int = 512, candidate_block: int = 2048) -> DataFrame:
-    """Top ``k`` of every vector whose id is divisible by ``every``, against all others.
+def search(vectors: DataFrame, every: int = 20, k: int = 20, query_block: int = 512, candidate_block: int = 16384, tile: int = 2048) -> DataFrame:
+    """Top ``k`` of every row whose id is divisible by ``every``, against all other rows.
 
-    ``vectors`` is the output of :func:`quantized`.  Gives query_id, rank, vec_id,
-    score; scores outside 64 bits stop at their limits.
+    ``vectors`` is the output of :func:`quantized`.  Gives query_id, rank, vec_id, score; scores
+    outside 64 bits stop at their limits.  A block of candidates is scored tile by tile with a
+    running top ``k``, so only ``k`` rows of a query leave each block.
     """
-    rows = materialize(vectors, "topk-vectors")
-    n, q = rows.agg(F.count("*"), F.count(F.when(F.col("vec_id") % every == 0, 1))).first()
+    rows = vectors
+    asked = F.col("named") & (F.col("id") % every == 0)
+    n, q = rows.agg(F.count("*"), F.count(F.when(asked, 1))).first()
     blocks, query_blocks = max(1, -(-n // candidate_block)), max(1, -(-q // query_block))
-    hashed = F.xxhash64(F.lit(9), "vec_id")
-    queries = rows.where(F.col("vec_id") % every == 0).select(
-        "vec_id", "vec", F.pmod(hashed, F.lit(query_blocks)).alias("_q"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_c"))
-    candidates = rows.select(
-        "vec_id", "vec", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("_q"),
-        F.pmod(hashed, F.lit(blocks)).alias("_c"))
+    hashed = F.xxhash64(F.lit(9), "_row")
+    copies = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+    queries = rows.where(asked).select("_row", "id", "vec", F.pmod(hashed, F.lit(query_blocks)).alias("_q"), copies(blocks).alias("_c"))
+    candidates = rows.select("_row", "id", "named", "vec", copies(query_blocks).alias("_q"), F.pmod(hashed, F.lit(blocks)).alias("_c"))
 
     def score(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame(columns=["query_id", "vec_id", "score"]).astype("int64")
-        scores = accumulate(_matrix(left["vec"].tolist()), _matrix(right["vec"].tolist()))
-        found = best(left["vec_id"].to_numpy(), right["vec_id"].to_numpy(), scores, k)
-        clipped = [(a, b, max(-LIMIT - 1, min(LIMIT, s))) for a, b, s in found]
-        return pd.DataFrame(clipped, columns=["query_id", "vec_id", "score"], dtype="int64")
+        held: dict[int, list[tuple]] = {}
+        asking = _matrix(left["vec"].tolist())
+        query_rows = left["_row"].to_numpy()
+        for at in range(0, len(right) if len(left) else 0, tile):
+            part = right.iloc[at : at + tile]
+            scores = accumulate(asking, _matrix(part["vec"].tolist()))
+            ids, named, numbers = part["id"].tolist(), part["named"].tolist(), part["_row"].to_numpy()
+            order = np.lexsort((numbers, ~part["named"].to_numpy(dtype=bool), part["id"].to_numpy())).argsort()
+            for a, b, s in best(scores, order, query_rows[:, None] == numbers, k):
+                held.setdefault(a, []).append((-s, ids[b], not named[b], int(numbers[b])))
+        out = []
+        names = left["id"].tolist()
+        for a, found in held.items():
+            for s, ident, nameless, number in sorted(found)[:k]:
+                out.append((int(query_rows[a]), names[a], ident, not nameless, number, max(-LIMIT - 1, min(LIMIT, -s))))
+        columns = ["query_row", "query_id", "id", "named", "row", "score"]
+        frame = pd.DataFrame(out, columns=columns)
+        return frame.astype({c: "bool" if c == "named" else "int64" for c in columns})
 
     # the query side carries k rows a block at most into the merge
     partial = shipped(queries).groupBy("_q", "_c").cogroup(candidates.groupBy("_q", "_c")).applyInPandas(score, RESULT)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return partial.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "id", F.desc("named"), "row"))
+    return partial.withColumn("rank", rank).where(F.col("rank") <= k).select(
+        "query_id", "rank", F.when(F.col("named"), F.col("id")).alias("vec_id"), "score")
