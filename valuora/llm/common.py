@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -16,13 +19,33 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from valuora.session import materialize, scratch_path, ship_package
 
 __all__ = ["BATCH_BYTES", "table", "text_or_empty", "map_columns", "with_row_ids", "materialize", "byte_slices", "shipped", "smallest",
-           "files_alone", "addressed", "repeated"]
+           "files_alone", "addressed", "repeated", "worker_state"]
 
 #: Python tasks cut their incoming Arrow batches so that one step holds about
 #: this many bytes of text, however long single texts are.
 BATCH_BYTES = 4 << 20
 
 
+_STATE: dict[object, object] = {}
+
+
+def worker_state(key: object = None, make: Callable[[], object] | None = None):
+    """What a Python worker keeps between tasks (a tokenizer and its memo, say): the state of one
+    operator at a time.  A task of another operator, or one without state, drops it and hands
+    the memory back, so stages that follow each other don't add up."""
+    if _STATE and key not in _STATE:
+        _STATE.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+    if make is None:
+        return None
+    if key not in _STATE:
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -57,6 +80,7 @@ def map_columns(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
         work = make()
         for batch in batches:
             for part in byte_slices(batch):
@@ -121,6 +145,7 @@ def repeated(rows: DataFrame, file: str, place: str, marks: DataFrame, name: str
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
         fs, base = pafs.FileSystem.from_uri(path)
         held: dict[int, pads.Dataset | None] = {}
 

@@ -19,7 +19,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -30,9 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from valuora.llm.common import byte_slices, materialize, shipped
+from valuora.llm.common import byte_slices, materialize, shipped, worker_state
 
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 LONG_WORD = 48
 ENCODE_WORDS = 2048
 WORD_END = "</w>"
@@ -118,10 +117,9 @@ class WordTokenizer:
                 del memo[w]
 
 
-@lru_cache(maxsize=2)
 def worker_tokenizer(path: str) -> WordTokenizer:
     """The tokenizer of this Python process, so tasks that follow each other share its memo."""
-    return WordTokenizer(path)
+    return worker_state(("tokenizer", path), lambda: WordTokenizer(path))
 
 
 def token_pieces(
@@ -251,6 +249,7 @@ def _pack_groups(pieces: DataFrame, groups: int, first_id: int, capacity: Capaci
     )
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        worker_state()
         rows = rows.sort_values(["length", "_deal", "ids_crc32", "piece"], ascending=[False, True, True, True], kind="stable")
         bins = best_fit(rows["length"].to_numpy(), capacity)
         rows = rows.drop(columns="_group").assign(sequence_id=first_id + (int(key[0]) << 32) + bins)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from valuora.llm.common import map_columns, smallest
+from valuora.llm.common import map_columns, smallest, worker_state
 from valuora.session import ship_package
 
 BITS = 16
@@ -184,6 +184,7 @@ def score(model: OrdinalModel, text: Column) -> Column:
 
     @F.pandas_udf("expected_grade double, tail double, keep boolean")
     def grade(texts: pd.Series) -> pd.DataFrame:
+        worker_state()
         tails = model.tails(model.margins(TextHasher(), texts.where(texts.notna(), "").to_numpy()))
         tail = tails[:, model.select_grade - 1]
         return pd.DataFrame({"expected_grade": tails.sum(axis=1), "tail": tail, "keep": tail >= model.select_at})

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from valuora.llm.common import map_columns
+from valuora.llm.common import map_columns, worker_state
 from valuora.session import ship_package
 
 KINDS = ("assign", "access", "hex", "guess")
@@ -233,6 +233,7 @@ def redacted(text: Column, words_path: str, min_bits: float = 40.0, mark: str =
 
     @F.pandas_udf(T.StringType())
     def clean(texts: pd.Series) -> pd.Series:
+        worker_state()
         words = load_words(words_path)
 
         def one(t):
