@@ -172,20 +172,22 @@ def numeric_section(
 def categorical_section(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
     """Novel-category rate among non-null current values + current missing rate.
 
-    The known set is the reference's distinct ``(feature, value)`` pairs; the
-    membership test is a left join on both columns (AQE turns it into a
-    broadcast at run time when the distinct set is small).
+    The known set is the reference's distinct ``(feature, value)`` pairs.  Current rows
+    are counted by value first, so the membership join meets each value once, however
+    often it occurs (a hot value is one row).
     """
     spark = _spark(reference)
     known = (
         category_long(reference, features).where(F.col("v").isNotNull()).distinct()
         .withColumn("known", F.lit(True))
     )
-    cur = category_long(current, features)
+    cur = category_long(current, features).groupBy("feature", "v").agg(F.count(F.lit(1)).cast("double").alias("n"))
     flagged = cur.join(known, ["feature", "v"], "left")
+    present = F.col("v").isNotNull()
+    seen, novel = F.sum(F.when(present, F.col("n"))), F.sum(F.when(present & F.col("known").isNull(), F.col("n")).otherwise(0.0))
     stats = flagged.groupBy("feature").agg(
-        F.avg(F.when(F.col("v").isNotNull(), F.col("known").isNull().cast("double"))).alias("novel"),
-        F.avg(F.col("v").isNull().cast("double")).alias("current_missing_rate"),
+        F.when(seen > 0, novel / seen).alias("novel"),
+        (F.sum(F.when(~present, F.col("n")).otherwise(0.0)) / F.sum("n")).alias("current_missing_rate"),
     )
     return _feature_spine(spark, features).join(stats, "feature", "left").select(
         "feature",

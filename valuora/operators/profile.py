@@ -82,8 +82,20 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Most frequent value per column, smallest value on ties."""
-    return df.agg(*[F.mode(c, deterministic=True).alias(c) for c in columns])
+    """Most frequent value per column, smallest value on ties; null without values.
+
+    Values are counted by column in one pass of grouping sets, then the most frequent is
+    picked, so no task holds a column's whole value map.
+    """
+    cols = list(columns)
+    counted = df.groupingSets([[F.col(c)] for c in cols], *cols).agg(
+        F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__set"))
+    whole = (1 << len(cols)) - 1
+    picked = []
+    for i, c in enumerate(cols):
+        own = (F.col("__set") == whole - (1 << (len(cols) - 1 - i))) & F.col(c).isNotNull()
+        picked.append(F.min_by(F.col(c), F.when(own, F.struct((-F.col("__n")).alias("n"), F.col(c).alias("v")))).alias(c))
+    return counted.agg(*picked)
 
 
 def distinct_and_min(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
