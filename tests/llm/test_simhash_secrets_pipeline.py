@@ -142,6 +142,18 @@ def test_guess_cost_orders_passwords():
         assert bits(v) <= brute_bits(v) + 1e-9 and bits(v) <= bits(v + "k")
 
 
+def test_long_values_have_one_price():
+    bits = lambda v, *limit: secrets.guess_bits(v, WORDS, *limit)
+    assert bits("-" * 250) < bits("-" * 600) < bits("-" * 250) + 2 < 40 and bits("a" * 600) < 20
+    assert bits("ab" * 3000) < 25 and bits("asas" * 2000) < 25
+    rng = random.Random(3)
+    for _ in range(300):
+        v = "".join(rng.choice(["summer", "2019", "qwer", "aaa", "x9", "-", "Dog"]) for _ in range(rng.randrange(1, 9)))
+        exact = bits(v)
+        short = bits(v, 25.0)
+        assert abs(short - exact) < 1e-9 if exact < 25 else short >= 25 - 1e-9
+
+
 def test_guess_cost_equals_exhaustive_segmentation():
     """Every split of short values, with the program's own price for single segments."""
     def single(v):
@@ -228,6 +240,37 @@ def test_pipeline_stages(spark, sf_dir, documents):
 
 def test_pipeline_edges(spark, sf_dir, edge_docs, no_docs):
     for docs in (edge_docs, no_docs):
-        for _, stage in corpus_pipeline.STAGES[1:]:
+        for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, sf_dir)
         docs.collect()
+
+
+def test_quality_stage_without_ratings(spark, edge_docs, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    kept = corpus_pipeline.STAGES[0][1](spark, edge_docs, str(tmp_path))
+    assert kept.columns == edge_docs.columns and kept.count() == edge_docs.count()
+
+
+def test_rows_stay_in_their_files(spark, tmp_path):
+    """Marks repeat and drop rows by their place; equal rows and clashing names are told apart."""
+    from valuora.llm.common import addressed, files_alone, repeated
+
+    rows = [(i // 2, "t" * (i % 3), i) for i in range(50)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "_file int, text string, _place int").repartition(3).write.parquet(path)
+    for df in (spark.read.parquet(path), spark.read.parquet(path).where("_place >= 0")):
+        held, file, place = addressed(df, "test-rows")
+        marks = held.where("_place % 5 < 3").selectExpr(f"`{file}`", f"`{place}`", "_place % 5 + 1 AS copies")
+        got = sorted(tuple(r) for r in repeated(held, file, place, marks, "test-marks").collect())
+        assert got == sorted(r for r in rows if r[2] % 5 < 3 for _ in range(r[2] % 5 + 1))
+    assert files_alone(spark.read.parquet(path)) and not files_alone(spark.read.parquet(path).where("_place > 1"))
+
+
+def test_stage_scratch_goes_once_its_result_is_reread(spark, sf_dir, documents, tmp_path):
+    import os
+
+    first = corpus_pipeline.dedup_stage(spark, documents, sf_dir)
+    made = list(corpus_pipeline._LEFT[spark.sparkContext.applicationId])
+    first.write.parquet(str(tmp_path / "kept"))
+    corpus_pipeline.secrets_stage(spark, spark.read.parquet(str(tmp_path / "kept")), sf_dir)
+    assert made and not any(os.path.exists(p.removeprefix("file://")) for p in made)

@@ -228,14 +228,19 @@ def test_topk_blocks_ties_and_edges(spark):
     rng = random.Random(9)
     rows = [(i, [float(rng.randrange(-3, 4)) / 64 for _ in range(rng.randrange(1, 6))]) for i in range(400)]
     rows += [(i, [0.5, 0.5]) for i in range(400, 700)]  # one very common vector
-    odd = [(900, None), (901, [1.0, None]), (902, [float("nan")]), (903, [float("inf")]), (None, [1.0]), (940, []), (0, rows[0][1])]
+    odd = [(900, None), (901, [1.0, None]), (902, [float("nan")]), (903, [float("inf")]), (940, [])]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").selectExpr("*", "1 AS rank", "2 AS score")
     vectors = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows} | {940: []}
-    got = found_topk(topk.search(topk.quantized(df), query_block=7, candidate_block=50))
-    assert got == plain_topk(vectors)
+    for options in ({}, {"query_block": 7, "candidate_block": 50, "tile": 16}):
+        assert found_topk(topk.search(topk.quantized(df), **options)) == plain_topk(vectors)
     few = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
     assert found_topk(topk.search(topk.quantized(few))) == {0: [(1, 1, 8192)]}
     assert topk.search(topk.quantized(few.limit(0))).count() == 0
+    # repeated ids are rows of their own, a row without id is a candidate behind equal scores
+    twice = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (1, [3.0]), (None, [2.0]), (0, [1.0])], "vec_id long, embedding array<double>")
+    for own in (topk.search(topk.quantized(twice), candidate_block=2, tile=1), topk.search(topk.quantized(twice))):
+        ranked = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in own.fillna(-1, ["vec_id"]).collect())
+        assert ranked == sorted(2 * [(0, 1, 1, 12288), (0, 2, 1, 8192), (0, 3, -1, 8192), (0, 4, 0, 4096)])
 
 
 def test_scores_beyond_exact_doubles():
