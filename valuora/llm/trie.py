@@ -89,7 +89,7 @@ def rebuilt_turns(turns: DataFrame, century: int = 100, most: int = 6) -> DataFr
         F.sort_array(F.collect_list(F.struct("pos", "d", "n_chars"))).alias("heads"))
     plan = convs.withColumn("donor", F.col("conv_id") - F.col("conv_id") % century).withColumn(
         "h", F.crc32(F.col("conv_id").cast("string").cast("binary")) % most).join(heads, "donor", "left")
-    plan = plan.withColumn("k", F.coalesce(F.least(F.col("h"), F.size("heads")), F.lit(0)).cast("long"))
+    plan = plan.withColumn("k", F.when(F.col("heads").isNull(), 0).otherwise(F.least(F.col("h"), F.size("heads"))).cast("long"))
     plan = plan.withColumn("len", F.col("k") + F.greatest(F.col("n") - F.col("h"), F.lit(0)))
     plan = materialize(plan.select("conv_id", "start", "h", "k", "len", F.slice("heads", F.lit(1), F.col("k").cast("int")).alias("heads")), "trie-plan")
     pos = F.col("place") - F.col("start") + 1
