@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from valuora.catalog import register
 from valuora.functions.columns import CLIPPED_NOTICE, CPI_NOTE, CPI_REFERENCE_YEAR, HISTORICAL_NOTICE, cpi_factor
-from valuora.operators.metrics import error_by_group, error_by_quantile_band
+from valuora.operators.metrics import cv_summary, error_by_group, error_by_quantile_band, fold_summary, ranked_table
 from valuora.plans import closed_form as CF
 from valuora.plans import production as P
 from valuora.sources.tables import sales_source, HOLDOUT_YEAR, VALIDATION_YEARS, sales_table, with_sales
@@ -128,6 +128,25 @@ def temporal_comparison_no_signal(spark, sf_dir):
     return _comparison(spark, sf_dir, "market_price")
 
 
+# ---------------------------------------------------------------- W2
+_RANKED = ("log_rmse", "log_mae")
+
+
+@register("comparison_ranking", _sql("sale_price", """
+SELECT 'folds' AS source, model, round(avg(log_rmse), 6) AS value, row_number() OVER (ORDER BY avg(log_rmse) NULLS LAST, model) AS rank
+FROM fm GROUP BY model
+UNION ALL
+SELECT 'summary', model, round(log_rmse, 6), row_number() OVER (ORDER BY log_rmse NULLS LAST, model) FROM summ
+"""))
+def comparison_ranking(spark, sf_dir):
+    """Both tables sorted by their metric: a fold summary has ``log_rmse_mean``, the temporal one falls back to ``log_rmse``."""
+    per_fold = _trained(spark, sf_dir, "sale_price").report.where(F.col("fold") != "summary")
+    folds = ranked_table(cv_summary(per_fold, _RANKED, ("model",)))
+    summary = ranked_table(fold_summary(per_fold))
+    return folds.select(F.lit("folds").alias("source"), "model", F.round("log_rmse_mean", 6).alias("value"), "rank").unionByName(
+        summary.select(F.lit("summary").alias("source"), "model", F.round("log_rmse", 6).alias("value"), "rank"))
+
+
 # ---------------------------------------------------------------- M6 + A21
 _DECISION_BODY = f"""
 SELECT chosen, best_cv_model, round(one_se_threshold, 6) AS one_se_threshold,

@@ -211,6 +211,15 @@ def group_boxplot(spark, sf_dir):
     return b.select("neighborhood", *[r(c, 2) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")], "n")
 
 
+@register("groups_by_median", with_sales(
+    """SELECT neighborhood, round(median(sale_price), 2) AS median, count(sale_price) AS n,
+       row_number() OVER (ORDER BY median(sale_price) NULLS FIRST, neighborhood NULLS FIRST) AS rank
+    FROM sales GROUP BY neighborhood"""))
+def groups_by_median(spark, sf_dir):
+    return A.groups_by_median(sales_source(spark, sf_dir), "neighborhood", "sale_price", METHOD).select(
+        "neighborhood", r("median", 2), "n", "rank")
+
+
 @register("calibration_bins", with_sales(
     f"""SELECT bin, count(*) AS n, round(avg(actual_price), 2) AS actual_mean, round(avg(predicted_price), 2) AS predicted_mean,
        round(avg(actual_price - predicted_price), 2) AS residual_mean

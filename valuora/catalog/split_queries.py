@@ -78,6 +78,25 @@ def split_disjointness(spark, sf_dir):
     return overlap.crossJoin(total)
 
 
+#: Columns without the key, some with nulls: rows of different sales can be equal in them.
+SHARED = ("neighborhood", "zoning", "building_type", "rooms", "first_ship_year")
+_SAME = " AND ".join(f"l.{c} IS NOT DISTINCT FROM r.{c}" for c in SHARED)
+
+
+@register("holdout_look_alikes", with_sales(
+    f"""SELECT l.zoning, count(*) AS n_rows, sum(CASE WHEN EXISTS (SELECT 1 FROM sales r WHERE r.sold_year < {HOLDOUT_YEAR} AND {_SAME})
+        THEN 1 ELSE 0 END) AS n_overlap FROM sales l WHERE l.sold_year = {HOLDOUT_YEAR} GROUP BY l.zoning"""))
+def holdout_look_alikes(spark, sf_dir):
+    """Holdout rows that equal a development row in all ``SHARED`` columns, nulls being equal."""
+    s = sales_source(spark, sf_dir)
+    hold = s.where(F.col("sold_year") == HOLDOUT_YEAR).select("sale_id", *SHARED)
+    dev = s.where(F.col("sold_year") < HOLDOUT_YEAR).select(*SHARED).distinct()
+    seen = null_safe_intersection(hold, dev, SHARED).groupBy("zoning").agg(F.count(F.lit(1)).alias("n_overlap"))
+    rows = hold.groupBy("zoning").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.join(seen, rows["zoning"].eqNullSafe(seen["zoning"]), "left").select(
+        rows["zoning"], "n_rows", F.coalesce("n_overlap", F.lit(0)).alias("n_overlap"))
+
+
 @register("kfold_assignment", with_sales(f"SELECT sale_id, CAST({H} % {KFOLDS} AS INTEGER) AS fold FROM sales"))
 def kfold_assignment(spark, sf_dir):
     return D.kfold(sales_source(spark, sf_dir), "sale_id", KFOLDS, SEED).select("sale_id", "fold")

@@ -245,6 +245,31 @@ def dataset_manifest(spark, sf_dir):
     return manifest.manifest(s, "sold_year", HOLDOUT_YEAR, ["sale_id", "neighborhood", "zoning", "sold_year"])
 
 
+_EXACT = ("acctbal", "living_area", "basement_area", "frontage", "market_price", "sale_price")  # decimal texts: every engine writes them alike
+_QUOTED = (*_EXACT, "neighborhood", "zoning", "building_type", "grade")
+
+
+def _row_json_sql() -> str:
+    parts = []
+    for c in (c.strip() for c in SALES_COLUMNS.split(",")):
+        text = f"CAST(CAST({c} AS DECIMAL(18, 4)) AS VARCHAR)" if c in _EXACT else f"CAST({c} AS VARCHAR)"
+        text = f"""'"' || {text} || '"'""" if c in _QUOTED else text
+        parts.append(f"""'"{c}":' || coalesce({text}, 'null')""")
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+@register("dataset_manifest_rows", with_sales(f"""
+SELECT count(*) AS n_rows, 15 AS n_columns, sum(CASE WHEN sold_year < {HOLDOUT_YEAR} THEN 1 ELSE 0 END) AS n_development,
+       sum(CASE WHEN sold_year = {HOLDOUT_YEAR} THEN 1 ELSE 0 END) AS n_holdout,
+       CAST(sum(CAST('0x' || substr(sha256({_row_json_sql()}), 1, 15) AS BIGINT)) AS VARCHAR) AS fingerprint
+FROM sales"""))
+def dataset_manifest_rows(spark, sf_dir):
+    """S10 over whole rows: every column of every row, nulls included, is in the fingerprint."""
+    s = sales_source(spark, sf_dir)
+    exact = s.select(*[F.col(c).cast("decimal(18,4)").cast("string").alias(c) if c in _EXACT else c for c in s.columns])
+    return manifest.manifest(exact, "sold_year", HOLDOUT_YEAR).drop("schema").withColumn("fingerprint", F.col("fingerprint").cast("string"))
+
+
 # ---------------------------------------------------------------- S2 + S3 (CSV round trip)
 @register("csv_round_trip", with_sales(f"SELECT {SALES_COLUMNS} FROM sales"))
 def csv_round_trip(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuora.operators.quantiles import grouped_quantiles
@@ -93,6 +93,20 @@ def comparison_table(per_fold: DataFrame, fold_col: str = "validation_year") ->
     return folds.unionByName(summ, allowMissingColumns=True)
 
 
+def ranked_table(table: DataFrame, metrics: Sequence[str] = ("log_rmse_mean", "log_rmse"), keys: Sequence[str] = ("model",),
+                 descending: bool = False) -> DataFrame:
+    """A comparison table sorted by the first of ``metrics`` that it has, with its ``rank``.
+
+    Nulls come last, ties go by ``keys``.  A comparison table has a row per run, so one sorted
+    window holds it; a table with none of the metrics raises.
+    """
+    metric = next((m for m in metrics if m in table.columns), None)
+    if metric is None:
+        raise ValueError(f"a comparison table needs one of {list(metrics)}")
+    order = F.desc_nulls_last(metric) if descending else F.asc_nulls_last(metric)
+    return table.withColumn("rank", F.row_number().over(Window.orderBy(order, *keys))).orderBy("rank")
+
+
 def cv_summary(per_fold: DataFrame, metrics: Sequence[str], group: Sequence[str] = ("run",)) -> DataFrame:
     """``<metric>_mean`` and ``<metric>_std`` (ddof 1) over folds."""
     aggs = []

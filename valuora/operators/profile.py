@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuora.functions.columns import safe_corr, seeded_unit_hash
+from valuora.operators.joins import exact_positions
 from valuora.operators.quantiles import grouped_quantiles
 
 
@@ -134,7 +135,7 @@ def histogram(df: DataFrame, value: str, bins: int = 30, log1p: bool = False) ->
 
 
 def box_stats(df: DataFrame, group: str, value: str, method: str = "refine") -> DataFrame:
-    """Per group q1, median, q3 and 1.5-IQR whiskers (ordered by median)."""
+    """V3: per group q1, median, q3 and 1.5-IQR whiskers (no order; W5 is :func:`groups_by_median`)."""
     q = grouped_quantiles(df, [group], value, [0.25, 0.5, 0.75], method).select(
         group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
     )
@@ -149,6 +150,19 @@ def box_stats(df: DataFrame, group: str, value: str, method: str = "refine") ->
     return q.join(whisk, group)
 
 
+def groups_by_median(df: DataFrame, group: str, value: str, method: str = "refine") -> DataFrame:
+    """``group, median, n, rank``, groups ordered by their median (ties by the group).
+
+    Groups without a value come first, as a null median does.  Ranks are places in the global
+    order, taken from sorted range partitions, so any number of groups will do.
+    """
+    medians = grouped_quantiles(df, [group], value, [0.5], method).select(group, F.col("q")[0].alias("median"))
+    counts = df.groupBy(group).agg(F.count(value).alias("n"))
+    both = counts.alias("c").join(medians.alias("m"), F.col(f"c.{group}").eqNullSafe(F.col(f"m.{group}")), "left").select(
+        F.col(f"c.{group}").alias(group), "median", "n")
+    return exact_positions(both, ["median", group], "rank", "median-order").withColumn("rank", F.col("rank") + 1).orderBy("rank")
+
+
 def calibration_bins(df: DataFrame, actual: str, predicted: str, bins: int = 10, method: str = "refine") -> DataFrame:
     """V4: prediction-decile bins with mean actual, mean predicted, mean residual."""
     probs = [i / bins for i in range(bins + 1)]
