@@ -28,7 +28,7 @@ def test_stream_join_matches_batch_twin(spark, sf_dir):
 
 @pytest.mark.parametrize("stream,batch", [
     ("stream_request_counters", "request_counters"), ("stream_price_histogram", "price_histogram"),
-    ("stream_windowed_drift", "windowed_drift")])
+    ("stream_windowed_drift", "windowed_drift"), ("stream_drift_report", "windowed_drift_report")])
 def test_streams_equal_their_batch_twins(spark, sf_dir, stream, batch):
     """Every window arrives, the last ones included."""
     q = entry.queries()

@@ -7,17 +7,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from valuora.catalog import REGISTRY, register
-from valuora.catalog.sqlgen import long_sql, psi_sql
+from valuora.catalog.sqlgen import long_sql, psi_sql, windowed_report_sql
 from valuora.functions import contract as K
 from valuora.operators import drift
-from valuora.session import checkpoint_root, scratch_path
+from valuora.operators import drift_cells as C
+from valuora.session import checkpoint_root, materialize, scratch_path
 from valuora.sources.tables import (
     sales_source,
     EVENTS_SQL,
     HOLDOUT_YEAR,
     REFERENCE_CUTOFF_YEAR,
+    SALES_BOUNDS,
+    SALES_CATEGORICAL,
     SALES_NUMERIC,
+    SCORED_SQL,
     VALIDATION_YEARS,
+    scored_sales,
     sale_events,
     sales_table,
     table,
@@ -250,3 +255,56 @@ def stream_windowed_drift(spark, sf_dir):
         .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
     psi = S.psi_from_counts(spark.read.parquet(out), ref_counts)
     return psi.select("window_start", "feature", F.round("psi", 6).alias("psi"))
+
+
+# ---------------------------------------------------------------- T5: the whole report by window
+_REPORT_SQL = with_sales(
+    windowed_report_sql("base", SALES_NUMERIC, SALES_CATEGORICAL, SALES_BOUNDS),
+    SCORED_SQL,
+    f"base AS (SELECT s.*, s.sold_year < {REFERENCE_CUTOFF_YEAR} AS is_ref, "
+    f"CAST(floor(epoch(o.o_orderdate) / {YEAR}) * {YEAR} AS BIGINT) AS window_start "
+    "FROM scored s JOIN orders o ON o.o_orderkey = s.sale_id)",
+)
+
+
+def _report_sides(spark, sf_dir):
+    """The frozen reference, and the scored rows since the cutoff with their order dates."""
+    s = scored_sales(sales_source(spark, sf_dir))
+    frozen = C.freeze(s.where(F.col("sold_year") < REFERENCE_CUTOFF_YEAR), SALES_NUMERIC, SALES_CATEGORICAL, SALES_BOUNDS,
+                      "actual_price", "predicted_price")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sale_id"), F.col("o_orderdate").alias("ts"))
+    return frozen, s.where(F.col("sold_year") >= REFERENCE_CUTOFF_YEAR).join(orders, "sale_id")
+
+
+def _rounded_report(report):
+    return report.withColumn("value", F.round("value", 6))
+
+
+@register("windowed_drift_report", _REPORT_SQL)
+def windowed_drift_report(spark, sf_dir):
+    """R3-R8 by yearly event-time window against the frozen reference."""
+    _utc(spark)
+    frozen, current = _report_sides(spark, sf_dir)
+    cells = C.current_cells(current, frozen, F.window(F.col("ts").cast("timestamp"), f"{YEAR} seconds"))
+    return _rounded_report(C.report_from_cells(materialize(cells, "window-cells"), frozen))
+
+
+@register("stream_drift_report", _REPORT_SQL)
+def stream_drift_report(spark, sf_dir):
+    """The same report as a stream: one streaming aggregate over the tagged cells, watermark 30 days,
+    closed to the last window; the report is made from the sink's cells."""
+    _utc(spark)
+    checkpoint_root(spark)
+    frozen, current = _report_sides(spark, sf_dir)
+    held = scratch_path(spark, "t5-report-rows")
+    current.write.parquet(held)
+    schema = spark.read.parquet(held).schema
+
+    def build(beats):
+        rows = spark.readStream.schema(schema).parquet(held).unionByName(beats)
+        rows = rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "30 days")
+        return C.current_cells(rows, frozen, F.window("ts", f"{YEAR} seconds"))
+
+    out = scratch_path(spark, "t5-report-cells")
+    S.run_to_the_end(spark, build, schema, "ts", out, scratch_path(spark, "t5-report-ckpt"), scratch_path(spark, "t5-report-beats"))
+    return _rounded_report(C.report_from_cells(spark.read.parquet(out), frozen))

@@ -242,42 +242,17 @@ def drift_report(
     Sections: ``numeric`` (psi, reference/current missing rate),
     ``categorical`` (novel_category_rate, current_missing_rate),
     ``range_violations`` (violation_rate), and when the columns exist
-    ``delayed_label_performance`` and ``prediction_shift``.
+    ``delayed_label_performance`` and ``prediction_shift``.  Each side is counted
+    once (:mod:`valuora.operators.drift_cells`); the reference's quantiles take two more scans.
     """
+    from valuora.operators import drift_cells as C
+    from valuora.session import materialize
+
     if materialize_inputs:
-        from valuora.session import materialize
-
-        # Every section re-reads both inputs: derive them once.
-        reference = materialize(reference, "drift-reference")
-        current = materialize(current, "drift-current")
-    num = numeric_section(reference, current, numeric, bins, method)
-    parts = [
-        num.unpivot(["feature"], ["psi", "reference_missing_rate", "current_missing_rate"], "metric", "value")
-        .select(F.lit("numeric").alias("section"), "feature", "metric", "value")
-    ]
-    if categorical:
-        cat = categorical_section(reference, current, categorical)
-        parts.append(
-            cat.unpivot(["feature"], ["novel_category_rate", "current_missing_rate"], "metric", "value")
-            .select(F.lit("categorical").alias("section"), "feature", "metric", "value")
-        )
-    if bounds:
-        rng = range_section(current, bounds)
-        parts.append(rng.select(F.lit("range_violations").alias("section"), "feature",
-                                F.lit("violation_rate").alias("metric"), F.col("violation_rate").alias("value")))
-    if actual in current.columns and predicted in current.columns:
-        perf = delayed_label_performance(current, actual, predicted)
-        parts.append(perf.unpivot([], ["log_rmse", "dollar_mae"], "metric", "value").select(
-            F.lit("delayed_label_performance").alias("section"), F.lit(None).cast("string").alias("feature"),
-            "metric", "value"))
-    if predicted in reference.columns and predicted in current.columns:
-        shift = prediction_shift(reference, current, predicted, method)
-        parts.append(shift.unpivot([], ["psi", "reference_mean", "current_mean"], "metric", "value").select(
-            F.lit("prediction_shift").alias("section"), F.lit(predicted).alias("feature"), "metric", "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*[F.col(c) for c in REPORT_COLUMNS[:3]], F.col("value").cast("double").alias("value"))
+        reference = materialize(reference, "drift-reference")  # scanned three times
+    has = lambda name: name if name in current.columns else None
+    frozen = C.freeze(reference, numeric, categorical, bounds, has(actual) if has(predicted) else None, has(predicted), bins, method)
+    return C.report_from_cells(materialize(C.current_cells(current, frozen), "drift-current-cells"), frozen)
 
 
 def report_document(report: DataFrame) -> dict:
