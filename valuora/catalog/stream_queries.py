@@ -11,6 +11,7 @@ from valuora.catalog.sqlgen import long_sql, psi_sql, windowed_report_sql
 from valuora.functions import contract as K
 from valuora.operators import drift
 from valuora.operators import drift_cells as C
+from valuora.operators.quantiles import grouped_quantiles
 from valuora.session import checkpoint_root, materialize, scratch_path
 from valuora.sources.tables import (
     sales_source,
@@ -308,3 +309,63 @@ def stream_drift_report(spark, sf_dir):
     out = scratch_path(spark, "t5-report-cells")
     S.run_to_the_end(spark, build, schema, "ts", out, scratch_path(spark, "t5-report-ckpt"), scratch_path(spark, "t5-report-beats"))
     return _rounded_report(C.report_from_cells(spark.read.parquet(out), frozen))
+
+
+# ---------------------------------------------------------------- T2: latency percentiles
+HOUR = 3_600
+LATENCY_QUANTILES = (0.5, 0.9, 0.95, 0.99)
+#: Three times the error that a sketch keeps with 99 % confidence.
+RANK_BOUND = 3 * S.sketch_rank_error()
+
+_PERCENTILE_SQL = f"""
+SELECT CAST(floor(epoch(ts) / {DAY}) * {DAY} AS BIGINT) AS window_start, event_type AS path, count(value) AS requests, q.quantile,
+       round(quantile_cont(value, q.quantile), 6) AS exact_latency_ms, TRUE AS sketch_within_bound
+FROM events, (SELECT unnest([{', '.join(f'CAST({q} AS DOUBLE)' for q in LATENCY_QUANTILES)}]) AS quantile) q
+WHERE value IS NOT NULL GROUP BY 1, 2, 4
+""".replace("quantile_cont(value, q.quantile)", "CASE q.quantile " + " ".join(
+    f"WHEN {q} THEN quantile_cont(value, {q})" for q in LATENCY_QUANTILES) + " END")
+
+
+def _held_against_exact(events, estimates):
+    """Daily percentiles from sketches beside the exact ones, and whether the estimate's true rank is within the bound."""
+    day = S.window_start_seconds(F.col("ts").cast("timestamp"), DAY)
+    rows = events.select(day.alias("window_start"), F.col("event_type").alias("path"),
+                         F.col("value").cast("double").alias("x")).where("x IS NOT NULL")
+    exact = grouped_quantiles(rows, ["window_start", "path"], "x", LATENCY_QUANTILES, "refine").select(
+        "window_start", "path", F.explode(F.arrays_zip(F.array(*[F.lit(q) for q in LATENCY_QUANTILES]).alias("quantile"), "q")).alias("e")).select(
+        "window_start", "path", "e.quantile", F.round("e.q", 6).alias("exact_latency_ms"))
+    asked = estimates.groupBy("window_start", "path", "requests").agg(F.collect_list(F.struct("quantile", (F.col("latency_s") * 1000.0).alias("latency_ms"))).alias("asked"))
+    sides = rows.join(asked, ["window_start", "path"]).select("window_start", "path", "requests", "x", F.explode("asked").alias("a"))
+    at, slack = F.col("a.latency_ms"), F.col("a.latency_ms") * 1e-12  # ms -> s -> ms costs a last bit
+    ranks = sides.groupBy("window_start", "path", "requests", "a.quantile").agg(
+        F.avg((F.col("x") < at - slack).cast("double")).alias("below"), F.avg((F.col("x") <= at + slack).cast("double")).alias("upto"))
+    within = (F.col("below") - RANK_BOUND <= F.col("quantile")) & (F.col("quantile") <= F.col("upto") + RANK_BOUND)
+    return ranks.join(exact, ["window_start", "path", "quantile"]).select(
+        "window_start", "path", "requests", "quantile", "exact_latency_ms", within.alias("sketch_within_bound"))
+
+
+@register("latency_percentiles", _PERCENTILE_SQL)
+def latency_percentiles(spark, sf_dir):
+    """Hourly sketches merged to days."""
+    _utc(spark)
+    events = table(spark, sf_dir, "events")
+    estimates = materialize(S.sketch_percentiles(S.latency_sketches(events, window_seconds=HOUR), DAY, LATENCY_QUANTILES), "latency-percentiles")
+    return _held_against_exact(events, estimates)
+
+
+@register("stream_latency_percentiles", _PERCENTILE_SQL)
+def stream_latency_percentiles(spark, sf_dir):
+    """The hourly sketches come from a stream (watermark 1 hour); its sink is merged to days."""
+    _utc(spark)
+    checkpoint_root(spark)
+    events = table(spark, sf_dir, "events")
+
+    def build(beats):
+        rows = spark.readStream.schema(events.schema).parquet(S.file_glob(f"{sf_dir}/events.parquet")).unionByName(beats)
+        rows = rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
+        return S.latency_sketches(rows, window_seconds=HOUR)
+
+    out = scratch_path(spark, "t2-sketches")
+    S.run_to_the_end(spark, build, events.schema, "ts", out, scratch_path(spark, "t2-sketch-ckpt"), scratch_path(spark, "t2-sketch-beats"))
+    estimates = materialize(S.sketch_percentiles(spark.read.parquet(out), DAY, LATENCY_QUANTILES), "latency-percentiles")
+    return _held_against_exact(events, estimates)

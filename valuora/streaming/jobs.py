@@ -68,6 +68,39 @@ def request_counters(events: DataFrame, ts: str = "ts", path: str = "event_type"
     return _window_seconds(agg)
 
 
+def latency_sketches(events: DataFrame, ts: str = "ts", path: str = "event_type", latency_ms: str = "value",
+                     window_seconds: int = 3_600, k: int = 800) -> DataFrame:
+    """Per (window, path) the number of latencies (seconds) and their KLL sketch.
+
+    Sketches merge, so a sink of short windows gives the percentiles of any longer one
+    (:func:`sketch_percentiles`).  A sketch keeps about ``k`` values per level, whatever the window
+    holds; windows of at most ``k`` latencies are exact.  Works on batch and streaming frames.
+    """
+    w = F.window(event_time(ts, events), f"{window_seconds} seconds")
+    lat = F.col(latency_ms).cast("double") / F.lit(1000.0)
+    rows = events.select(w.alias("w"), F.col(path).alias("path"), lat.alias("latency_s"))
+    # Nulls are left out by the sketch and the count: a filter on the rows would move below the
+    # watermark and take the heartbeats that close the last windows.
+    agg = rows.groupBy("w", "path").agg(F.count("latency_s").alias("requests"), F.kll_sketch_agg_double("latency_s", k).alias("sketch"))
+    return _window_seconds(agg).where("requests > 0")
+
+
+def sketch_rank_error(k: int = 800) -> float:
+    """The normalised rank error that a (merged) KLL sketch of ``k`` keeps with 99 % confidence."""
+    return 2.296 / k**0.9021
+
+
+def sketch_percentiles(sketches: DataFrame, window_seconds: int, quantiles: Sequence[float] = (0.5, 0.9, 0.95, 0.99)) -> DataFrame:
+    """Percentiles per (longer window, path) from merged sketches: ``window_start, path, requests, quantile, latency_s``."""
+    start = (F.floor(F.col("window_start") / F.lit(window_seconds)) * F.lit(window_seconds)).cast("bigint")
+    merged = sketches.groupBy(start.alias("window_start"), "path").agg(
+        F.sum("requests").alias("requests"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    at = F.array(*[F.lit(float(q)) for q in quantiles])
+    values = F.kll_sketch_get_quantile_double("sketch", at)
+    return merged.select("window_start", "path", "requests", F.explode(F.arrays_zip(at.alias("quantile"), values.alias("latency_s"))).alias("q")).select(
+        "window_start", "path", "requests", "q.*")
+
+
 def _window_seconds(agg: DataFrame) -> DataFrame:
     """Replace the window struct by its start in epoch seconds (after the
     aggregation, so streaming keeps grouping on the watermarked window)."""
