@@ -142,7 +142,7 @@ def box_stats(df: DataFrame, group: str, value: str, method: str = "refine") ->
     iqr = F.col("q3") - F.col("q1")
     fences = q.select("*", (F.col("q1") - 1.5 * iqr).alias("__lo"), (F.col("q3") + 1.5 * iqr).alias("__hi"))
     x = F.col(value).cast("double")
-    whisk = df.select(group, x.alias("__x")).join(F.broadcast(fences.select(group, "__lo", "__hi")), group).groupBy(group).agg(
+    whisk = df.select(group, x.alias("__x")).join(fences.select(group, "__lo", "__hi"), group).groupBy(group).agg(
         F.min(F.when(F.col("__x") >= F.col("__lo"), F.col("__x"))).alias("whisker_low"),
         F.max(F.when(F.col("__x") <= F.col("__hi"), F.col("__x"))).alias("whisker_high"),
         F.count(F.lit(1)).alias("n"),
