@@ -159,3 +159,28 @@ def target_encoding(spark, sf_dir):
     train_part = enc.fit_transform(dev).select("sale_id", r("neighborhood"))
     hold_part = enc.fit(dev).transform(hold).select("sale_id", r("neighborhood"))
     return train_part.unionByName(hold_part)
+
+
+# ---------------------------------------------------------------- E9: the cleaning steps, raw variant
+@register("legacy_cleaned_rows", with_sales("""
+SELECT s.sale_id, CAST(s.sold_year AS VARCHAR) AS sold_year, coalesce(CAST(s.basement_area AS DOUBLE), 0.0) AS basement_area,
+       round(coalesce(CAST(s.frontage AS DOUBLE), g.m, a.m), 6) AS frontage,
+       round(coalesce(s.living_area, 0.0) + coalesce(CAST(s.basement_area AS DOUBLE), 0.0), 6) AS total_area,
+       coalesce(s.neighborhood, 'Missing') AS neighborhood, coalesce(s.zoning, 'Missing') AS zoning,
+       coalesce(s.building_type, 'Missing') AS building_type, coalesce(s.grade, 'Missing') AS grade
+FROM sales s
+LEFT JOIN (SELECT neighborhood, quantile_cont(CAST(frontage AS DOUBLE), 0.5) AS m FROM sales GROUP BY 1) g ON g.neighborhood = s.neighborhood
+CROSS JOIN (SELECT quantile_cont(CAST(frontage AS DOUBLE), 0.5) AS m FROM sales) a
+"""))
+def legacy_cleaned_rows(spark, sf_dir):
+    """E9 raw: year codes as text, no basement as 0, frontage by its neighborhood's median, the summed area."""
+    from valuora.plans import models as MD
+    from valuora.plans.cleaning import Cleaning
+
+    s = sales_source(spark, sf_dir)
+    steps = Cleaning(codes=("sold_year",), zeros=("basement_area",), group="neighborhood", grouped=("frontage",),
+                     engineered={"total_area": "coalesce(living_area, 0.0) + basement_area"})
+    pre = MD.legacy_preprocessor("raw", ["basement_area", "frontage"], ["neighborhood", "zoning", "building_type", "grade"], {}, None, "sale_id", 42, False, steps)
+    return pre.fit(s).transform(s).select("sale_id", "sold_year", F.col("basement_area").cast("double").alias("basement_area"),
+                                          F.round("frontage", 6).alias("frontage"), F.round("total_area", 6).alias("total_area"),
+                                          "neighborhood", "zoning", "building_type", "grade")
