@@ -93,6 +93,23 @@ def test_score_does_not_depend_on_language_or_id(spark):
     assert "en" in model.by_language and r[3]["t"] == pytest.approx(model.threshold)
 
 
+def test_every_labelled_row_trains_toxicity(spark, monkeypatch):
+    """No sample: rows of both classes all reach a shard; several shards learn what is in few of them."""
+    taken, whole = [], toxicity._averaged
+
+    def watched(shards, *rest):
+        taken.append(shards.agg(F.sum(F.size("toxic")).alias("n"), F.count("*").alias("k")).first())
+        return whole(shards, *rest)
+
+    monkeypatch.setattr(toxicity, "_averaged", watched)
+    rows = spark.range(9000).select(F.col("id").alias("doc_id"), F.expr("if(id % 4 = 0, concat('you ', if(id % 8 = 0, 'idiot ', 'scum '), id), concat('calm words ', id))").alias("text"),
+                                    F.lit("en").alias("lang"), (F.col("id") % 4 == 0).cast("int").alias("toxic"))
+    model = toxicity.train(rows, shard_rows=1500, epochs=2)
+    assert [t["n"] for t in taken] == [9000, 9000] and taken[0]["k"] == 12
+    said = spark.createDataFrame([("an idiot",), ("scum",), ("calm",)], "text string").select(toxicity.scored(model, F.col("text")).alias("s")).collect()
+    assert said[0]["s"] > 0.5 and said[1]["s"] > 0.5 and said[2]["s"] < 0.1
+
+
 def test_stacked_texts_do_not_touch():
     rng = np.random.default_rng(3)
     hashed = toxicity.WordRows(toxicity.Shape().buckets)

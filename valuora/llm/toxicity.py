@@ -3,26 +3,30 @@
 A word's embedding is the sum of rows hashed from the word and its leading
 characters.  Filters of several widths slide over the whole text, each keeps its
 maximum, and a logistic layer turns the maxima into a score.  The network is
-trained in numpy by Adam on a bounded, seeded sample of labelled rows; a held
-part of the sample calibrates the score and one threshold per language.
+trained by Adam on all labelled rows but a held fifth, which calibrates the score
+and one threshold per language.  Rows are dealt to shards of bounded size; in each
+epoch a task runs Adam over its shard from the common network, and the networks are
+averaged (an embedding row by the steps that touched it).  One shard is plain Adam.
 Language is used for that report alone, never for the score.
 """
 
 from __future__ import annotations
 
+import copy
 import re
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from valuora.llm.common import map_columns, smallest
-from valuora.session import ship_package
+from valuora.llm.common import shipped
+from valuora.session import materialize, ship_package
 
 WORD = re.compile(r"\w+")
 MEMO_WORDS = 150_000
@@ -78,14 +82,20 @@ class WordRows:
         self.memo[word] = rows
         return rows
 
+    @staticmethod
+    def words(text: str | None) -> list[str]:
+        """Lower-cased words of a text."""
+        words = WORD.findall((text or "").lower())
+        if max(map(len, words), default=0) > LONG_WORD:  # unbroken runs: pieces that cover them
+            words = [p for w in words for p in ([w] if len(w) <= LONG_WORD else [w[i : i + PIECE] for i in range(0, len(w), PIECE)])]
+        return words
+
     def __call__(self, text: str | None) -> np.ndarray:
-        """(words, parts) bucket numbers of the lower-cased words of a text."""
+        """(words, parts) bucket numbers of the words of a text."""
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         get, miss = self.memo.get, self._rows
-        words = WORD.findall((text or "").lower())
-        if max(map(len, words), default=0) > LONG_WORD:  # unbroken runs: pieces that cover them
-            words = [p for w in words for p in ([w] if len(w) <= LONG_WORD else [w[i : i + PIECE] for i in range(0, len(w), PIECE)])]
+        words = self.words(text)
         rows = [get(w) or miss(w) for w in words]
         return np.array(rows, dtype=self.kind).reshape(len(rows), 1 + len(PREFIXES))
 
@@ -156,20 +166,32 @@ def raw_scores(model: ToxicityModel, texts: Sequence[np.ndarray], step_words: in
 def fit(texts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, shape: Shape | None = None, epochs: int = 8,
         batch: int = 64, rate: float = 0.01, drop: float = 0.2, l2: float = 1e-5, seed: int = 10) -> ToxicityModel:
     """Train by mini-batch Adam on log loss; a share ``drop`` of the words is blanked in each step."""
-    shape = shape or Shape()
     rng = np.random.default_rng(seed)
-    d, f, pad = shape.dims, shape.filters, max(shape.widths)
-    model = ToxicityModel(
+    model = untrained(shape or Shape(), float((labels * weights).sum() / weights.sum()), rng)
+    descend(model, texts, labels, weights, rng, range(epochs), epochs, batch, rate, drop, l2)
+    return model
+
+
+def untrained(shape: Shape, share: float, rng: np.random.Generator) -> ToxicityModel:
+    """A drawn network whose score is the ``share`` of toxic rows on an empty text."""
+    d, f, share = shape.dims, shape.filters, float(np.clip(share, 0.01, 0.99))
+    return ToxicityModel(
         shape, rng.normal(0, 0.1, (shape.buckets, d)).astype(np.float32),
         [rng.normal(0, 1 / np.sqrt(w * d), (w, d, f)).astype(np.float32) for w in shape.widths],
         [np.zeros(f, np.float32) for _ in shape.widths],
-        rng.normal(0, 0.3, f * len(shape.widths)).astype(np.float32), 0.0)
-    share = float(np.clip((labels * weights).sum() / weights.sum(), 0.01, 0.99))
-    model.out_bias = float(np.log(share / (1 - share)))
+        rng.normal(0, 0.3, f * len(shape.widths)).astype(np.float32), float(np.log(share / (1 - share))))
+
+
+def descend(model: ToxicityModel, texts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, rng: np.random.Generator, turns: range,
+            epochs: int = 8, batch: int = 64, rate: float = 0.01, drop: float = 0.2, l2: float = 1e-5) -> np.ndarray:
+    """Run the epochs ``turns`` of ``epochs`` over the texts, changing ``model``; steps that touched each embedding row."""
+    shape = model.shape
+    d, f, pad = shape.dims, shape.filters, max(shape.widths)
+    seen = np.zeros(shape.buckets, np.float32)
     params = [model.embed, *model.filters, *model.bias, model.out, np.array([model.out_bias], np.float32)]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step = 0
-    for epoch in range(epochs):
+    for epoch in turns:
         lr = rate * (1 - epoch / epochs) + rate * 0.05
         order = rng.permutation(len(texts))
         for at in range(0, len(order), batch):
@@ -211,6 +233,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, shape:
             for q, g, (m, s) in zip(params, grads, moments):
                 if q is params[0]:
                     live = np.flatnonzero(np.abs(g).sum(axis=1))  # rows seen in this step
+                    seen[live] += 1
                     g = g[live] + l2 * q[live]
                     m[live] += 0.1 * (g - m[live])
                     s[live] += 0.01 * (g**2 - s[live])
@@ -220,6 +243,49 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, shape:
                 s += 0.01 * ((g + l2 * q) ** 2 - s)
                 q -= lr * 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)
     model.out_bias = float(params[-1][0])
+    return seen
+
+
+def _dense(model: ToxicityModel) -> list[np.ndarray]:
+    return [*model.filters, *model.bias, model.out, np.array([model.out_bias], np.float32)]
+
+
+def _set_dense(model: ToxicityModel, flat: np.ndarray) -> None:
+    cuts = np.cumsum([a.size for a in _dense(model)])[:-1]
+    parts = [p.reshape(a.shape).astype(np.float32) for p, a in zip(np.split(flat, cuts), _dense(model))]
+    n = len(model.filters)
+    model.filters, model.bias, model.out, model.out_bias = parts[:n], parts[n : 2 * n], parts[2 * n], float(parts[-1][0])
+
+
+def _averaged(shards: DataFrame, model: ToxicityModel, turns: range, seed: int, options: dict) -> ToxicityModel:
+    """``turns`` from ``model`` on every shard, and the mean of what comes out: one job.
+
+    Networks are added up as flat vectors, in groups of shards, so the driver gets few of them.
+    """
+    rows_type = row_type(model.shape.buckets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                texts, y, _ = _unpacked(batch, i, rows_type)
+                shard = batch.column("shard")[i].as_py()
+                mine = copy.deepcopy(model)
+                seen = descend(mine, texts, y, np.ones(len(y)), np.random.default_rng([seed, turns[0], shard]), turns, **options)
+                flat = np.concatenate([((mine.embed - model.embed) * seen[:, None]).ravel(), seen, np.concatenate([a.ravel() for a in _dense(mine)]) * len(y), [len(y)]])
+                yield pa.RecordBatch.from_arrays([pa.array([shard % 8], pa.int32()), pa.array([shard], pa.int32()), pa.array([flat.astype(np.float32).tobytes()], pa.binary())], ["part", "shard", "flat"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = 0.0
+        for i in np.argsort(table.column("shard").to_numpy()).tolist():  # one order, whatever order they came in
+            total = total + np.frombuffer(table.column("flat")[i].as_buffer(), np.float32).astype(np.float64)
+        return pa.table({"part": table.column("part").slice(0, 1), "flat": pa.array([total.tobytes()], pa.binary())})
+
+    found = shards.where("NOT held").mapInArrow(run, "part int, shard int, flat binary").groupBy("part").applyInArrow(add, "part int, flat binary").collect()
+    total = sum(np.frombuffer(r["flat"]) for r in sorted(found, key=lambda r: r["part"]))
+    size, buckets = model.embed.size, model.shape.buckets
+    seen = total[size : size + buckets]
+    model.embed = (model.embed + total[:size].reshape(model.embed.shape) / np.maximum(seen, 1)[:, None]).astype(np.float32)
+    _set_dense(model, total[size + buckets : -1] / total[-1])
     return model
 
 
@@ -227,7 +293,8 @@ def _platt(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
     """Scale (positive) and shift of a weighted logistic fit of labels on logits, by Newton steps."""
     x = np.stack([z, np.ones_like(z)], axis=1)
     beta = np.array([1.0, 0.0])
-    target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    ones, zeros = (w * y).sum(), (w * (1 - y)).sum()
+    target = np.where(y > 0, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     for _ in range(50):
         p = sigmoid(x @ beta)
         grad = x.T @ (w * (p - target)) + 1e-3 * (beta - [1.0, 0.0])
@@ -246,59 +313,83 @@ def best_threshold(score: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
     order = np.argsort(-score, kind="stable")
     hits, all_ = np.cumsum((w * y)[order]), np.cumsum(w[order])
     f1 = 2 * hits / (all_ + (w * y).sum())
+    f1[:-1][score[order][:-1] == score[order][1:]] = -1  # equal scores stay together
     at = int(f1.argmax())
     lower = score[order[at + 1]] if at + 1 < len(order) else 0.0
     return float((score[order[at]] + lower) / 2)
 
 
+def _unpacked(batch: pa.RecordBatch, i: int, rows_type) -> tuple[list[np.ndarray], np.ndarray, list[str]]:
+    """Texts, labels and languages of a shard."""
+    lengths, words, rows = (np.frombuffer(batch.column(c)[i].as_buffer(), k) for c, k in (("lengths", np.int64), ("words", np.int32), ("rows", rows_type)))
+    texts = np.split(rows.reshape(-1, 1 + len(PREFIXES))[words], np.cumsum(lengths)[:-1])
+    return texts, np.array(batch.column("toxic")[i].as_py(), dtype=np.float64), batch.column("lang")[i].as_py()
+
+
+SHARD = "shard int, held boolean, toxic array<int>, lang array<string>, lengths binary, words binary, rows binary"
+
+
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id", lang_col: str = "lang",
-          toxic_rows: int = 1500, clean_rows: int = 3500, seed: int = 10, least_language: int = 40, **options) -> ToxicityModel:
-    """Train on at most ``toxic_rows`` + ``clean_rows`` labelled rows (smallest seeded hashes of the id).
+          shard_rows: int = 4000, seed: int = 10, least_language: int = 40, **options) -> ToxicityModel:
+    """Train on all labelled rows.
 
-    Rows are weighted back to the labels' true rates, which are counted over all
-    of them.  A fifth of the sample calibrates.  Null texts and labels do not train; with
-    fewer than two classes the score is a constant.
+    A shard has about ``shard_rows`` rows; more rows make more shards.  A fifth of the rows (by a seeded hash of the id) does not train but calibrates, on
+    counts of logits rounded to 1/1024.  Null texts and labels take no part; with fewer than two
+    classes the score is a constant.
     """
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("toxic"),
-        F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"))
+        F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("h")).where("toxic IN (0, 1)")
     totals = {int(r["toxic"]): int(r["n"]) for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    shape = options.get("shape") or Shape()
+    shape, epochs = options.pop("shape", None) or Shape(), options.get("epochs", 8)
     if not totals.get(0) or not totals.get(1):
         empty = [np.zeros((w, shape.dims, shape.filters), np.float32) for w in shape.widths]
         flat = -3.0 if not totals.get(1) else 3.0
         return ToxicityModel(shape, np.zeros((shape.buckets, shape.dims), np.float32), empty,
                              [np.zeros(shape.filters, np.float32) for _ in shape.widths],
                              np.zeros(shape.filters * len(shape.widths), np.float32), flat)
-    sample = smallest(rows.where("toxic = 1"), "h", toxic_rows, "text").union(
-        smallest(rows.where("toxic = 0"), "h", clean_rows, "text"))
-    schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("toxic", T.IntegerType()),
-                           T.StructField("lang", T.StringType()), T.StructField("rows", T.BinaryType())])
-    buckets = shape.buckets
-
-    def make():
-        hashed = WordRows(buckets)
-        return lambda c: {"h": c["h"], "toxic": c["toxic"], "lang": c["lang"], "rows": [hashed(t).tobytes() for t in c["text"]]}
-
-    got = map_columns(sample, make, schema).toPandas().sort_values(["h", "toxic"], kind="stable")
-    texts = [np.frombuffer(b, dtype=row_type(buckets)).reshape(-1, 1 + len(PREFIXES)) for b in got["rows"]]
-    y = got["toxic"].to_numpy(dtype=np.float64)
-    taken = {c: max(int((y == c).sum()), 1) for c in (0, 1)}
-    w = np.where(y > 0, totals[1] / taken[1], totals[0] / taken[0])
-    w /= w.mean()
-    held = np.arange(len(y)) % 5 == 4 if len(y) >= 100 else np.zeros(len(y), bool)
-    learn = np.flatnonzero(~held)
-    model = fit([texts[i] for i in learn], y[learn], np.ones(len(learn)), **options)
-    watch = np.flatnonzero(held) if held.any() else learn
-    z = raw_scores(model, [texts[i] for i in watch])
-    model.scale, model.shift = _platt(z, y[watch], w[watch])
+    n, rows_type = sum(totals.values()), row_type(shape.buckets)
+    count = -(-n // shard_rows)
+    held = (F.pmod("h", F.lit(5)) == 4) if n >= 100 else F.lit(False)
+    dealt = rows.withColumn("held", held).withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(count)).cast("int"))
+
+    def pack(table: pa.Table) -> pa.Table:
+        hashed, known = WordRows(shape.buckets), {}
+        order = sorted(zip(table.column("h").to_pylist(), table.column("toxic").to_pylist(), table.column("text").to_pylist(), table.column("lang").to_pylist()))
+        texts = [np.array([known.setdefault(w, len(known)) for w in hashed.words(o[2])], np.int32) for o in order]
+        vocabulary = np.array([hashed._rows(w) for w in known], rows_type)
+        return pa.table({"shard": table.column("shard").slice(0, 1), "held": table.column("held").slice(0, 1),
+                         "toxic": pa.array([[o[1] for o in order]], pa.list_(pa.int32())), "lang": pa.array([[o[3] for o in order]], pa.list_(pa.string())),
+                         "lengths": pa.array([np.array([len(t) for t in texts], np.int64).tobytes()], pa.binary()),
+                         "words": pa.array([np.concatenate(texts).tobytes()], pa.binary()), "rows": pa.array([vocabulary.tobytes()], pa.binary())})
+
+    shards = materialize(shipped(dealt).groupBy("shard", "held").applyInArrow(pack, SHARD), "toxicity-shards")
+    sides = {r["held"]: r["n"] for r in shards.groupBy("held").agg(F.count("*").alias("n")).collect()}
+    model = untrained(shape, totals[1] / n, np.random.default_rng(seed))
+    # one shard is trained through in one task; several meet after every epoch
+    for turns in [range(epochs)] if sides.get(False, 0) <= 1 else [range(e, e + 1) for e in range(epochs)]:
+        if sides.get(False):
+            model = _averaged(shards, model, turns, seed, options)
+
+    def logits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                texts, y, lang = _unpacked(batch, i, rows_type)
+                cell = np.rint(np.clip(raw_scores(model, texts), -60, 60) * 1024).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(y.astype(np.int32)), pa.array(cell)], ["lang", "toxic", "cell"])
+
+    watch = shards.where(F.col("held") == F.lit(bool(sides.get(True))))
+    cells = watch.mapInArrow(logits, "lang string, toxic int, cell long").groupBy("lang", "toxic", "cell").agg(
+        F.count("*").alias("n")).orderBy("lang", "toxic", "cell").toPandas()  # at most one row per language, label and rounded logit
+    z, y, w = cells["cell"].to_numpy() / 1024, cells["toxic"].to_numpy(dtype=np.float64), cells["n"].to_numpy(dtype=np.float64)
+    model.scale, model.shift = _platt(z, y, w)
     s = sigmoid(model.scale * z + model.shift)
-    model.threshold = best_threshold(s, y[watch], w[watch])
-    lang = got["lang"].to_numpy()[watch]
+    model.threshold = best_threshold(s, y, w)
+    lang = cells["lang"].to_numpy()
     for name in sorted(set(lang) - {""}):
         own = lang == name
-        if own.sum() >= least_language and (y[watch][own] > 0).sum() >= 5:
-            model.by_language[name] = best_threshold(s[own], y[watch][own], w[watch][own])
+        if w[own].sum() >= least_language and (w * y)[own].sum() >= 5:
+            model.by_language[name] = best_threshold(s[own], y[own], w[own])
     return model
 
 
