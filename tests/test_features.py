@@ -70,3 +70,17 @@ def test_informative_and_missing_fills(spark):
     df = spark.createDataFrame([(None, None, None)], "pool string, garage_year double, other string")
     out = V.fill_missing_categories(V.fill_informative(df, ["pool", "garage_year"], zeros=["garage_year"])).first()
     assert (out.pool, out.garage_year, out.other) == ("None", 0.0, "Missing")
+
+
+def test_skew_rule_shuffles_no_distinct_values(spark, monkeypatch):
+    """Columns of two values, with negative ones or all null are left alone; no distinct count is taken for that."""
+    from valuora.operators import encoders as E
+
+    rows = [(float(2 ** (i % 12)), float(i % 20 == 0), float(2 ** (i % 12)) - 5, None, None if i % 3 else float(i**4)) for i in range(120)]
+    df = spark.createDataFrame(rows, "a double, two double, negative double, none double, nulls double")
+
+    def refused(*_):
+        raise AssertionError("distinct values counted")
+
+    monkeypatch.setattr(E.F, "count_distinct", refused)
+    assert E.SkewedLog1p(inputCols=df.columns).fit(df).selected() == ["a", "nulls"]
