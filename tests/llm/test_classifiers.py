@@ -145,3 +145,15 @@ def test_all_eleven_are_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
     assert set(__spark_entry__.oracle_sql()) <= names
+
+
+def test_labelled_texts_are_the_join_without_a_shuffle_of_texts(spark, edge_docs, no_docs, tmp_path):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (1, 1), (2, None), (4, 0), (5, 1), (8, 0), (77, 1), (None, 1)], "doc_id long, toxic int")
+    edge_docs.select("doc_id", "text", "lang").repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    for given in (docs, edge_docs):
+        want = given.select("doc_id", "text", "lang").join(labels, "doc_id").collect()
+        got = queries.labelled_texts(given, labels, "toxic")
+        assert got.columns == ["doc_id", "text", "lang", "toxic"]
+        assert sorted(map(str, got.collect())) == sorted(map(str, want)) and len(want) == 10
+    assert queries.labelled_texts(no_docs, labels, "toxic").count() == 0

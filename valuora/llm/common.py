@@ -131,48 +131,56 @@ def addressed(df: DataFrame, name: str) -> tuple[DataFrame, str, str]:
     return df.select("*", F.xxhash64(hidden["file_path"]).alias(file), hidden["row_index"].alias(place)), file, place
 
 
-def repeated(rows: DataFrame, file: str, place: str, marks: DataFrame, name: str) -> DataFrame:
+def repeated(rows: DataFrame, file: str, place: str, marks: DataFrame, name: str, carry: Sequence[str] = ()) -> DataFrame:
     """Rows of :func:`addressed`, each as often as ``marks`` (file, place, copies) says; others go.
 
     The rows themselves never move: marks are written in one folder per input file, sorted by
-    place, and the task that reads a part of the file looks up the marks of that part.
+    place, and the task that reads a part of the file looks up the marks of that part.  Columns
+    of the marks named in ``carry`` are added to the rows; a place may have several marks.
     """
     path = scratch_path(rows.sparkSession, name)
-    (marks.select(F.col(file).alias("file"), F.col(place).alias("place"), F.col("copies").cast("long").alias("copies"))
+    (marks.select(F.col(file).alias("file"), F.col(place).alias("place"), F.col("copies").cast("long").alias("copies"), *carry)
      .repartitionByRange("file", "place").sortWithinPartitions("file", "place")
      .write.option("parquet.block.size", 1 << 20).partitionBy("file").parquet(path))
-    schema = T.StructType(rows.schema.fields[:-2])
+    carried = T.StructType([marks.schema[c] for c in carry])
+    schema = T.StructType([*rows.schema.fields[:-2], *carried.fields])
     arrow = to_arrow_schema(schema)
+    stored = pa.schema([("place", pa.int64()), ("copies", pa.int64()), *to_arrow_schema(carried)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state()
         fs, base = pafs.FileSystem.from_uri(path)
         held: dict[int, pads.Dataset | None] = {}
 
-        def copies(number: int, places: np.ndarray) -> np.ndarray:
+        def marked(number: int, places: np.ndarray) -> tuple[np.ndarray, pa.Table] | None:
+            """Places' numbers, as often as they are marked, beside their marks."""
             if number not in held:
                 folder = f"{base}/file={number}"
                 known = fs.get_file_info(folder).type == pafs.FileType.Directory
-                held[number] = pads.dataset(folder, filesystem=fs, format="parquet", schema=pa.schema([("place", pa.int64()), ("copies", pa.int64())])) if known else None
+                held[number] = pads.dataset(folder, filesystem=fs, format="parquet", schema=stored) if known else None
             if held[number] is None:
-                return np.zeros(len(places), dtype=np.int64)
+                return None
             at = pads.field("place")
             found = held[number].to_table(filter=(at >= int(places.min())) & (at <= int(places.max()))).sort_by("place")
-            marked, times = found["place"].to_numpy(), found["copies"].to_numpy()
-            if not len(marked):
-                return np.zeros(len(places), dtype=np.int64)
-            spot = np.minimum(np.searchsorted(marked, places), len(marked) - 1)
-            return np.where(marked[spot] == places, times[spot], 0)
+            first, last = (np.searchsorted(found["place"].to_numpy(), places, side=s) for s in ("left", "right"))
+            count = last - first
+            row = np.repeat(np.arange(len(places)), count)
+            mark = np.arange(len(row)) + np.repeat(first - (np.cumsum(count) - count), count)
+            times = found["copies"].to_numpy()[mark]
+            return np.repeat(row, times), found.take(pa.array(np.repeat(mark, times)))
 
         for batch in batches:
             for part in byte_slices(batch):
                 numbers, places = (c.to_numpy() for c in part.columns[-2:])
-                times = np.zeros(len(places), dtype=np.int64)
+                taken, beside = [], []
                 for number in np.unique(numbers).tolist():
-                    mine = numbers == number
-                    times[mine] = copies(number, places[mine])
-                if times.any():
-                    kept = part.take(pa.array(np.repeat(np.arange(len(times)), times)))
-                    yield pa.RecordBatch.from_arrays(kept.columns[:-2], schema=arrow)
+                    mine = np.flatnonzero(numbers == number)
+                    got = marked(number, places[mine])
+                    if got is not None and len(got[0]):
+                        taken.append(mine[got[0]])
+                        beside.append(got[1])
+                if taken:
+                    kept, added = part.take(pa.array(np.concatenate(taken))), pa.concat_tables(beside)
+                    yield pa.RecordBatch.from_arrays([*kept.columns[:-2], *[added[c].combine_chunks() for c in carry]], schema=arrow)
 
     return shipped(rows).mapInArrow(run, schema)

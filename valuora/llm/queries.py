@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from valuora.llm import fingerprints, mixing, negatives, packing, pii, quality, secrets, sharding, simhash, topk, toxicity, trie, warc
-from valuora.llm.common import map_columns, table
+from valuora.llm.common import addressed, map_columns, materialize, repeated, table
 
 #: Tokenizer files; the operators take paths, the queries name these.
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -86,12 +86,20 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(topk.quantized(table(spark, sf_dir, "embeddings")))
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """The join of ``docs`` (doc_id, text, lang) with one label by doc_id.  Only ids and places are shuffled;
+    the tasks that read the texts pick the labelled ones."""
+    rows, file, place = addressed(docs, "labelled-documents")
+    rows = rows.select("doc_id", "text", "lang", file, place)
+    marks = rows.select("doc_id", file, place).join(labels.select("doc_id", label), "doc_id").groupBy(file, place, label).agg(F.count("*").alias("copies"))
+    return materialize(repeated(rows, file, place, marks, "label-marks", [label]), "labelled-texts")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from rows outside the held-out part."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    labelled = docs.select("doc_id", "text", "lang").join(labels.where(~held).select("doc_id", "toxic"), "doc_id")
-    model = toxicity.train(labelled)
+    model = toxicity.train(labelled_texts(docs, labels.where(~held), "toxic"))
     rows = docs.select("doc_id", held.alias("held_out"), "lang", toxicity.scored(model, F.col("text")).alias("score"))
     limit = toxicity.language_threshold(model, F.col("lang"))
     return rows.select(
