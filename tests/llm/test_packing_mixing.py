@@ -209,3 +209,39 @@ def test_mixing_edges(edge_docs, no_docs):
         copies[r["doc_id"]] += r["copies"]
     assert Counter(r["doc_id"] for r in out.collect()) == +copies
     assert mixing.decide(mixing.sized(no_docs)).count() == 0 and mixing.mix(no_docs).count() == 0
+
+
+def test_a_full_memo_changes_no_ids(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [None, "", " \t "] + [" ".join(f"w{n}x{n % 7}." if n % 3 else f"Wort{n}" for n in rng.integers(0, 400, 60)) for _ in range(40)]
+    whole = list(packing.WordTokenizer(queries.WORD_TOKENIZER).texts(texts))
+    monkeypatch.setattr(packing, "MEMO_WORDS", 50)
+    small = packing.WordTokenizer(queries.WORD_TOKENIZER)
+    assert [ids for t in texts for ids in small.texts([t])] == whole
+    assert len(small.words) < 50 + 200  # those of the last texts
+
+
+def test_a_worker_hands_back_the_memory_of_passed_texts():
+    """The growth over many slices of ever new words stays far below what their objects take."""
+    code = f"""
+import random, re
+from valuora.llm import packing
+from valuora.llm.common import hand_back
+def held():
+    return sum(map(int, re.findall(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) >> 10
+r = random.Random(1)
+tokenizer = packing.WordTokenizer({queries.WORD_TOKENIZER!r})
+some = lambda: [" ".join("".join(r.choices("abcdefghijklmnop0123", k=12)) for _ in range(300)) for _ in range(200)]
+tokens = sum(map(len, tokenizer.texts(some())))
+hand_back()
+first = held()
+for _ in range(5):
+    tokens += sum(map(len, tokenizer.texts(some())))
+    hand_back()
+print(held() - first, len(tokenizer.words))
+"""
+    import subprocess
+    import sys
+
+    grown, words = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=120).stdout.split())
+    assert words > 100_000 and grown < 60

@@ -19,7 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from valuora.session import materialize, scratch_path, ship_package
 
 __all__ = ["BATCH_BYTES", "table", "text_or_empty", "map_columns", "with_row_ids", "materialize", "byte_slices", "shipped", "smallest",
-           "files_alone", "addressed", "repeated", "worker_state"]
+           "files_alone", "addressed", "repeated", "worker_state", "hand_back"]
 
 #: Python tasks cut their incoming Arrow batches so that one step holds about
 #: this many bytes of text, however long single texts are.
@@ -29,6 +29,13 @@ BATCH_BYTES = 4 << 20
 _STATE: dict[object, object] = {}
 
 
+def hand_back() -> None:
+    """Return freed memory of this process, which allocators would keep, to the machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def worker_state(key: object = None, make: Callable[[], object] | None = None):
     """What a Python worker keeps between tasks (a tokenizer and its memo, say): the state of one
     operator at a time.  A task of another operator, or one without state, drops it and hands
@@ -36,9 +43,7 @@ def worker_state(key: object = None, make: Callable[[], object] | None = None):
     if _STATE and key not in _STATE:
         _STATE.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        hand_back()
     if make is None:
         return None
     if key not in _STATE:

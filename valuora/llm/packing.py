@@ -24,12 +24,13 @@ from unicodedata import is_normalized
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from valuora.llm.common import byte_slices, materialize, shipped, worker_state
+from valuora.llm.common import byte_slices, hand_back, materialize, shipped, worker_state
 
 MEMO_WORDS = 200_000
 LONG_WORD = 48
@@ -48,16 +49,17 @@ class WordTokenizer:
     the ids of a text are those of its words in order, so words are looked up in
     a memo and only new ones go through the tokenizer.  Signs at a word's end, after an
     ASCII letter, are a token run of their own, so they are coded apart.  Texts that may hold
-    a special token's string keep their case.  The memo has two generations: when the young
-    one is full it becomes the old one, and words still in use move over.
+    a special token's string keep their case.  The memo is two Arrow columns (a dict of small
+    objects, made among the objects of a passing text, would hold several times its size in
+    memory); once it is full, only the words of the texts at hand stay in it.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.words = pa.array([], pa.large_binary())
+        self.ids = pa.array([], pa.large_binary())
         # letters that normalisation leaves as they are need neither it nor the splitting pattern
         plain = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
             {"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
@@ -93,28 +95,42 @@ class WordTokenizer:
             out.update((w, struct.pack(f"<{len(e)}I", *e.ids)) for w, e in zip(some, coded))
         return out
 
-    def texts(self, texts: list[str | None]) -> Iterator[bytes]:
-        raw = [(t or "").encode() for t in texts]
-        split = [(t if b"<|" in t else t.lower()).split() for t in raw]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo, self.old = {}, self.memo
-        memo = self.memo
-        new = set().union(*split).difference(memo)
-        known = [w for w in new if w in self.old] if self.old else []
-        memo.update(zip(known, map(self.old.__getitem__, known)))
-        new.difference_update(known)
+    def _known(self, words: list[bytes]) -> dict[bytes, bytes]:
+        place = pc.index_in(pa.array(words, pa.large_binary()), value_set=self.words)
+        there = place.is_valid()
+        return dict(zip([w for w, t in zip(words, there.to_pylist()) if t], self.ids.take(place.filter(there)).to_pylist()))
+
+    def texts(self, texts: pa.Array | list[str | None]) -> Iterator[bytes]:
+        column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(column, "<|"), column, pc.ascii_lower(column)))
+        uses = words.values.dictionary_encode()
+        different = uses.dictionary.cast(pa.large_binary())
+        place = pc.index_in(different, value_set=self.words)
+        if len(self.words) > MEMO_WORDS:
+            used = place.drop_null()
+            self.words, self.ids = self.words.take(used), self.ids.take(used)
+            place = pc.index_in(different, value_set=self.words)
+        listed = different.filter(place.is_null()).to_pylist()
+        new = set(listed).difference((b"",))
         stems = {w: w.rstrip(_SIGNS) for w in new if w[-1] in _SIGNS}
         stopped = {w: s for w, s in stems.items() if s and s[-1] in _LETTERS}
-        parts = set(stopped.values()).union(w[len(s) :] for w, s in stopped.items()).union(new.difference(stopped))
-        coded = self._encode([w for w in parts if w not in memo])
-        ids = lambda w: coded[w] if w in coded else memo[w]
+        parts = list(set(stopped.values()).union(w[len(s) :] for w, s in stopped.items()).union(new.difference(stopped)))
+        known = self._known(parts)
+        coded = self._encode([w for w in parts if w not in known])
+        ids = lambda w: coded[w] if w in coded else known[w]
         coded.update([(w, ids(s) + ids(w[len(s) :])) for w, s in stopped.items()])
-        memo.update(coded)
-        for words in split:
-            yield b"".join(map(memo.__getitem__, words))
-        for w in coded:
-            if len(w) > LONG_WORD:
-                del memo[w]
+        at = place.fill_null(-1).to_numpy().astype(np.int64)
+        at[at < 0] = len(self.ids) + np.arange(len(listed))
+        every = pa.concat_arrays([self.ids, pa.array([coded.get(w, b"") for w in listed], pa.large_binary())])
+        kept = [w for w in coded if len(w) <= LONG_WORD]
+        self.words = pa.concat_arrays([self.words, pa.array(kept, pa.large_binary())])
+        self.ids = pa.concat_arrays([self.ids, pa.array([coded[w] for w in kept], pa.large_binary())])
+        out = every.take(pa.array(at[uses.indices.to_numpy()]))
+        ends = np.frombuffer(out.buffers()[1], dtype=np.int64)[words.offsets.to_numpy()].tolist() if len(out) else [0] * (len(words) + 1)
+        data = memoryview(out.buffers()[2] or b"") if len(out) else memoryview(b"")
+        del listed, new, stems, stopped, parts, known, coded, kept, every, uses, words
+        for start, stop in zip(ends, ends[1:]):
+            yield bytes(data[start:stop])
 
 
 def worker_tokenizer(path: str) -> WordTokenizer:
@@ -158,9 +174,8 @@ def token_pieces(
         seen = 0
         for batch in batches:
             for part in byte_slices(batch):
-                cols = part.to_pydict()
                 out: list[list] = [[] for _ in fields]
-                for doc, ids in zip(cols["doc_id"], tokenizer.texts(cols["text"])):
+                for doc, ids in zip(part.column("doc_id").to_pylist(), tokenizer.texts(part.column("text"))):
                     ids += end
                     for at in range(0, len(ids), step):
                         cut = ids[at : at + step]
@@ -173,6 +188,7 @@ def token_pieces(
                         for column, value in zip(out, row):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, arrow)], schema=arrow)
+                hand_back()
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return shipped(source).mapInArrow(run, schema)
