@@ -1,5 +1,6 @@
 """Quality and toxicity models: gradients, held-out accuracy, edges, and the registry."""
 
+import copy
 import zlib
 
 import numpy as np
@@ -120,6 +121,82 @@ def test_stacked_texts_do_not_touch():
     assert together == pytest.approx(alone, abs=1e-4)
 
 
+def test_a_words_vector_is_summed_up_once(monkeypatch):
+    """A step of training and a stack of texts to score sum up distinct words, not every place of the texts."""
+    summed, whole = [], toxicity._embed
+
+    def watched(*args):
+        summed.append(len(args[1]))
+        return whole(*args)
+
+    monkeypatch.setattr(toxicity, "_embed", watched)
+    rows = toxicity.WordRows(1 << 14).of_words(["idiot", "calm", "words"])
+    texts = [np.array(([0, 1] if i % 2 else [1, 2]) * 500, np.int32) for i in range(64)]
+    model = toxicity.untrained(toxicity.Shape(), 0.5, np.random.default_rng(1))
+    seen = toxicity.descend(model, texts, rows, np.arange(64) % 2.0, np.ones(64), np.random.default_rng(2), range(3))
+    assert max(summed) <= 4 and len(summed) == 3  # the three and the blank
+    assert set(np.flatnonzero(seen)) <= set(rows.ravel().tolist()) and seen.max() <= 3
+    summed.clear()
+    told = toxicity.WordVectors(model).logits(["idiot calm " * 500, "calm words " * 500] * 20)
+    assert sum(summed) == 3
+    assert told == pytest.approx(toxicity.raw_scores(model, [rows[t] for t in (texts[1], texts[0])] * 20), abs=1e-4)
+    assert toxicity.shard_scores(model, texts, rows) == pytest.approx(np.tile(told[1::-1], 32), abs=1e-4)
+
+
+def test_word_rows_are_checksums_of_leading_characters():
+    words = ["a", "four", "fives", "longerwords", "ñandú", "éèêëœßä日本", "𝒳𝒴𝒵𝒳𝒴𝒵𝒳𝒴"]
+    want = [[zlib.crc32(p.encode()) % 1000 for p in [w] + ["^" + w[:n] for n in toxicity.PREFIXES]] for w in words]
+    assert toxicity.WordRows(1000).of_words(words).tolist() == want
+    assert toxicity.WordRows(1000).of_words([]).shape == (0, 1 + len(toxicity.PREFIXES))
+
+
+def test_forgotten_words_score_the_same(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 900, size=n)) for n in (0, 30, 700, 5, 2000, 0, 400)] + [None, "x" * 100]
+    model = toxicity.untrained(toxicity.Shape(), 0.5, rng)
+    hashed, known = toxicity.WordRows(model.shape.buckets), toxicity.WordVectors(model)
+    want = toxicity.raw_scores(model, [hashed(t) for t in texts])
+    monkeypatch.setattr(toxicity, "MEMO_WORDS", 100)
+    monkeypatch.setattr(toxicity, "STEP_WORDS", 300)
+    for _ in range(2):
+        assert known.logits(texts) == pytest.approx(want, abs=1e-4)
+    assert len(known) < 900 and known.logits([]).shape == (0,)
+
+
+def test_training_step_follows_the_gradient():
+    """One step moves every embedding row and filter against the numeric derivative of the loss."""
+    rng = np.random.default_rng(5)
+    shape = toxicity.Shape(buckets=40, dims=3, widths=(1, 2), filters=4)
+    rows = rng.integers(0, 40, size=(9, 5))
+    texts = [rng.integers(0, 9, size=n).astype(np.int32) for n in (0, 1, 2, 6, 9, 9)]
+    y = np.array([0.0, 1, 0, 1, 1, 0])
+    model = toxicity.untrained(shape, 0.5, rng)
+    plain = copy.deepcopy(model)
+
+    def loss():
+        p = toxicity.sigmoid(toxicity.raw_scores(plain, [rows[t] for t in texts]))
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    def slope(params):
+        out = np.zeros(params.shape)
+        for at in np.ndindex(params.shape):
+            kept, found = params[at], []
+            for to in (1e-6, -1e-6):
+                params[at] = kept + to
+                found.append(loss())
+            params[at], out[at] = kept, (found[0] - found[1]) / 2e-6
+        return out
+
+    plain.embed, plain.out = plain.embed.astype(np.float64), plain.out.astype(np.float64)
+    plain.filters, plain.bias = [w.astype(np.float64) for w in plain.filters], [b.astype(np.float64) for b in plain.bias]
+    slopes = [slope(plain.embed), *map(slope, plain.filters), slope(plain.out)]
+    seen = toxicity.descend(model, texts, rows, y, np.ones(6), np.random.default_rng(6), range(1), epochs=1, drop=0.0, l2=0.0)
+    assert seen.tolist() == (np.abs(slopes[0]).max(axis=1) > 1e-9).astype(float).tolist()
+    pairs = zip([plain.embed, *plain.filters, plain.out], [model.embed, *model.filters, model.out], slopes, [1, 0.3, 0.3, 0.3], [0.1, 1, 1, 1])
+    for was, now, g, share, first in pairs:  # the embedding's moments are not scaled up in first steps
+        assert now - was == pytest.approx(-0.01 * 1.05 * share * first * g / (first * np.abs(g) + 1e-6), abs=3e-4)
+
+
 def test_toxicity_edges(spark, edge_docs, no_docs):
     for labelled in (no_docs.withColumn("toxic", F.lit(1)), edge_docs.withColumn("toxic", F.lit(0))):
         model = toxicity.train(labelled)

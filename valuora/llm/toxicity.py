@@ -15,8 +15,9 @@ from __future__ import annotations
 import copy
 import re
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -30,9 +31,11 @@ from valuora.session import materialize, ship_package
 
 WORD = re.compile(r"\w+")
 MEMO_WORDS = 150_000
+STEP_WORDS = 20_000
 PIECE = 24
 LONG_WORD = 48
 PREFIXES = (4, 5, 6, 7)
+CARET = zlib.crc32(b"^")
 
 
 @dataclass
@@ -71,15 +74,16 @@ def row_type(buckets: int):
 
 
 class WordRows:
-    """Embedding rows of words: (1 + len(PREFIXES)) bucket numbers each, with a bounded memo."""
+    """Embedding rows of words: (1 + len(PREFIXES)) bucket numbers each."""
 
     def __init__(self, buckets: int) -> None:
-        self.buckets, self.memo, self.kind = buckets, {}, row_type(buckets)
+        self.buckets, self.kind = buckets, row_type(buckets)
 
-    def _rows(self, word: str) -> tuple[int, ...]:
-        parts = [word] + ["^" + word[:n] for n in PREFIXES]
-        rows = tuple(zlib.crc32(p.encode()) % self.buckets for p in parts)
-        self.memo[word] = rows
+    def of_words(self, words: Sequence[str]) -> np.ndarray:
+        """(words, parts) bucket numbers: checksums of every word and of "^" with its leading characters."""
+        rows = np.empty((len(words), 1 + len(PREFIXES)), self.kind)
+        for j, (parts, start) in enumerate([(words, 0), *(([w[:n] for w in words], CARET) for n in PREFIXES)]):
+            rows[:, j] = np.fromiter(map(zlib.crc32, map(str.encode, parts), repeat(start)), np.uint32, len(words)) % self.buckets
         return rows
 
     @staticmethod
@@ -92,12 +96,7 @@ class WordRows:
 
     def __call__(self, text: str | None) -> np.ndarray:
         """(words, parts) bucket numbers of the words of a text."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        get, miss = self.memo.get, self._rows
-        words = self.words(text)
-        rows = [get(w) or miss(w) for w in words]
-        return np.array(rows, dtype=self.kind).reshape(len(rows), 1 + len(PREFIXES))
+        return self.of_words(self.words(text))
 
 
 def _responses(vectors: np.ndarray, w: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -124,51 +123,100 @@ def _pooled(model: ToxicityModel, vectors: np.ndarray, starts: np.ndarray) -> np
     return np.concatenate(pools, axis=1)
 
 
-def _stack(texts: Sequence[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of texts with ``pad`` padding rows (-1) after each; text starts; which rows are words."""
-    if not texts:
-        return np.zeros((0, 1 + len(PREFIXES)), np.int32), np.zeros(0, np.int64), np.zeros(0, bool)
-    blank = np.full((pad, 1 + len(PREFIXES)), -1, dtype=np.int32)
-    rows = np.concatenate([x for t in texts for x in (t.astype(np.int32, copy=False), blank)])
+def _stack(texts: Sequence[np.ndarray], pad: int, blank: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of texts one after another, each followed by ``pad`` times ``blank``; text starts."""
+    gap = np.full(pad, blank, np.int32)
     lengths = np.array([len(t) + pad for t in texts])
-    return rows, np.concatenate([[0], np.cumsum(lengths)[:-1]]), rows[:, 0] >= 0
+    return np.concatenate([x for t in texts for x in (t, gap)]), np.concatenate([[0], np.cumsum(lengths)[:-1]])
 
 
-def _embed(model: ToxicityModel, rows: np.ndarray, real: np.ndarray) -> np.ndarray:
-    vectors = model.embed[rows[:, 0]].copy()
+def _embed(embed: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Vectors of words given by their embedding rows."""
+    vectors = embed[rows[:, 0]]
     for j in range(1, rows.shape[1]):
-        vectors += model.embed[rows[:, j]]
-    vectors[~real] = 0
+        vectors += embed[rows[:, j]]
     return vectors
 
 
-def raw_scores(model: ToxicityModel, texts: Sequence[np.ndarray], step_words: int = 20_000) -> np.ndarray:
-    """Logits of texts given as word rows; texts are stacked up to ``step_words`` words at a time."""
-    pad = max(model.shape.widths)
-    out, batch, size = [], [], 0
-
-    def flush() -> None:
-        nonlocal batch, size
-        if batch:
-            rows, starts, real = _stack(batch, pad)
-            out.append(_pooled(model, _embed(model, rows, real), starts) @ model.out + model.out_bias)
-            batch, size = [], 0
-
+def _in_steps(texts: Iterable[np.ndarray], step_words: int) -> Iterator[list[np.ndarray]]:
+    """Lists of texts of ``step_words`` words or a little more."""
+    batch, size = [], 0
     for t in texts:
         batch.append(t)
         size += len(t)
         if size >= step_words:
-            flush()
-    flush()
+            yield batch
+            batch, size = [], 0
+    if batch:
+        yield batch
+
+
+def _logits(model: ToxicityModel, texts: Sequence[np.ndarray], vectors: np.ndarray) -> np.ndarray:
+    """Logits of texts given as word numbers (from 1), all at once; ``vectors`` are those of the numbers, the first one zero."""
+    numbers, starts = _stack(texts, max(model.shape.widths), 0)
+    return _pooled(model, np.take(vectors, numbers, axis=0), starts) @ model.out + model.out_bias
+
+
+def raw_scores(model: ToxicityModel, texts: Sequence[np.ndarray], step_words: int = STEP_WORDS) -> np.ndarray:
+    """Logits of texts given as word rows; texts are stacked up to ``step_words`` words at a time."""
+    return shard_scores(model, *_numbered(texts), step_words)
+
+
+def shard_scores(model: ToxicityModel, texts: Sequence[np.ndarray], rows: np.ndarray, step_words: int = STEP_WORDS) -> np.ndarray:
+    """Logits of texts given as word numbers, with the embedding rows of every number."""
+    vectors = np.concatenate([np.zeros((1, model.shape.dims), np.float32), _embed(model.embed, rows)])
+    out = [_logits(model, [t + 1 for t in batch], vectors) for batch in _in_steps(texts, step_words)]
     return np.concatenate(out) if out else np.zeros(0)
 
 
+def _numbered(texts: Sequence[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Texts given as word rows with a number for every word, and the rows by number."""
+    if not texts:
+        return [], np.zeros((0, 1 + len(PREFIXES)), np.int32)
+    ends = np.cumsum([len(t) for t in texts])
+    return np.split(np.arange(ends[-1], dtype=np.int32), ends[:-1]), np.concatenate(texts)
+
+
+class WordVectors(dict):
+    """Numbers of the words met (from 1) and their vectors, summed up once per word; all are forgotten beyond ``MEMO_WORDS``."""
+
+    def __init__(self, model: ToxicityModel) -> None:
+        super().__init__()
+        self.model, self.hashed, self.fresh = model, WordRows(model.shape.buckets), []
+        self.table = np.zeros((1, model.shape.dims), np.float32)
+
+    def __missing__(self, word: str) -> int:
+        self.fresh.append(word)
+        self[word] = number = len(self) + 1
+        return number
+
+    def vectors(self) -> np.ndarray:
+        """Vectors by number."""
+        if self.fresh:
+            known = len(self) + 1 - len(self.fresh)
+            if len(self) >= len(self.table):
+                self.table = np.concatenate([self.table[:known], np.zeros((len(self) + 1, self.table.shape[1]), np.float32)])
+            self.table[known : len(self) + 1] = _embed(self.model.embed, self.hashed.of_words(self.fresh))
+            self.fresh = []
+        return self.table
+
+    def logits(self, texts: Iterable[str | None]) -> np.ndarray:
+        """Logits of texts."""
+        out = []
+        for batch in _in_steps(map(WordRows.words, texts), STEP_WORDS):
+            if len(self) > MEMO_WORDS:
+                self.clear()
+            numbers = [np.fromiter(map(self.__getitem__, words), np.int32, len(words)) for words in batch]
+            out.append(_logits(self.model, numbers, self.vectors()))
+        return np.concatenate(out) if out else np.zeros(0)
+
+
 def fit(texts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, shape: Shape | None = None, epochs: int = 8,
         batch: int = 64, rate: float = 0.01, drop: float = 0.2, l2: float = 1e-5, seed: int = 10) -> ToxicityModel:
     """Train by mini-batch Adam on log loss; a share ``drop`` of the words is blanked in each step."""
     rng = np.random.default_rng(seed)
     model = untrained(shape or Shape(), float((labels * weights).sum() / weights.sum()), rng)
-    descend(model, texts, labels, weights, rng, range(epochs), epochs, batch, rate, drop, l2)
+    descend(model, *_numbered(texts), labels, weights, rng, range(epochs), epochs, batch, rate, drop, l2)
     return model
 
 
@@ -182,32 +230,54 @@ def untrained(shape: Shape, share: float, rng: np.random.Generator) -> ToxicityM
         rng.normal(0, 0.3, f * len(shape.widths)).astype(np.float32), float(np.log(share / (1 - share))))
 
 
-def descend(model: ToxicityModel, texts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, rng: np.random.Generator, turns: range,
+def _sums(at: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places (below ``size``, ascending) where the values add up to something, and the sums there, added up in their order."""
+    mark, slot, d = np.zeros(size, bool), np.empty(size, np.int64), values.shape[1]
+    mark[at] = True
+    found = np.flatnonzero(mark)
+    slot[found] = np.arange(0, len(found) * d, d)
+    sums = np.zeros((len(found), d), np.float32)
+    np.add.at(sums.reshape(-1), (slot[at][:, None] + np.arange(d)).ravel(), values.ravel())
+    some = sums.any(axis=1)
+    return found[some], sums[some]
+
+
+def descend(model: ToxicityModel, texts: list[np.ndarray], words: np.ndarray, labels: np.ndarray, weights: np.ndarray, rng: np.random.Generator, turns: range,
             epochs: int = 8, batch: int = 64, rate: float = 0.01, drop: float = 0.2, l2: float = 1e-5) -> np.ndarray:
-    """Run the epochs ``turns`` of ``epochs`` over the texts, changing ``model``; steps that touched each embedding row."""
+    """Run the epochs ``turns`` of ``epochs`` over the texts, changing ``model``; steps that touched each embedding row.
+
+    Texts are word numbers, ``words`` the embedding rows of every number.  A step sums up the vector of
+    a word once, however often it occurs, and handles gradients only where there are any.
+    """
     shape = model.shape
-    d, f, pad = shape.dims, shape.filters, max(shape.widths)
-    seen = np.zeros(shape.buckets, np.float32)
-    params = [model.embed, *model.filters, *model.bias, model.out, np.array([model.out_bias], np.float32)]
+    d, f, pad, blank = shape.dims, shape.filters, max(shape.widths), len(words)
+    words = np.concatenate([words, np.zeros((1, words.shape[1]), words.dtype)])  # the last one stands for no word
+    seen, place = np.zeros(shape.buckets, np.float32), np.zeros(len(words), np.int32)
+    params = [*model.filters, *model.bias, model.out, np.array([model.out_bias], np.float32)]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+    embed_m, embed_s = np.zeros_like(model.embed), np.zeros_like(model.embed)
     step = 0
     for epoch in turns:
         lr = rate * (1 - epoch / epochs) + rate * 0.05
         order = rng.permutation(len(texts))
         for at in range(0, len(order), batch):
             pick = order[at : at + batch]
-            rows, starts, real = _stack([texts[i] for i in pick], pad)
-            real &= rng.random(len(real)) >= drop
-            vectors = _embed(model, rows, real)
+            numbers, starts = _stack([texts[i] for i in pick], pad, blank)
+            real = (numbers != blank) & (rng.random(len(numbers)) >= drop)
+            here = np.arange(len(numbers), dtype=np.int32)
+            place[numbers] = here
+            some = numbers[place[numbers] == here]  # every word once
+            place[some] = here[: len(some)]
+            table = np.zeros((len(some) + 1, d), np.float32)
+            table[:-1] = _embed(model.embed, words[some])
+            vectors = np.take(table, np.where(real, place[numbers], len(some)), axis=0)
             pools, where = [], []
             for w, b in zip(model.filters, model.bias):
                 u = _responses(vectors, w, starts)
-                top = np.maximum.reduceat(u, starts, axis=0)
-                ends = np.append(starts[1:], len(u))
-                spots = np.empty(top.shape, dtype=np.int64)
-                for i, (a, z) in enumerate(zip(starts, ends)):
+                spots = np.empty((len(pick), f), dtype=np.int64)
+                for i, (a, z) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(u)])):
                     spots[i] = a + u[a:z].argmax(axis=0)
-                pools.append(top + b)
+                pools.append(u[spots, np.arange(f)] + b)
                 where.append(spots)
             pre = np.concatenate(pools, axis=1)
             hidden = np.maximum(pre, 0)
@@ -217,28 +287,29 @@ def descend(model: ToxicityModel, texts: list[np.ndarray], labels: np.ndarray, w
             grads[-1][0] = dz.sum()
             grads[-2] += hidden.T @ dz
             dh = np.outer(dz, model.out) * (pre > 0)
-            dv = np.zeros_like(vectors)
+            spread, shares = [], []  # places in the stack and their gradients
             for i, (width, w, spots) in enumerate(zip(shape.widths, model.filters, where)):
                 g = dh[:, i * f : (i + 1) * f]
-                grads[1 + len(shape.widths) + i] += g.sum(axis=0)
+                grads[len(shape.widths) + i] += g.sum(axis=0)
+                text, unit = np.nonzero(g)
                 for j in range(width):
                     picked = spots + j  # (texts, filters)
-                    grads[1 + i][j] += np.einsum("bfd,bf->df", vectors[picked], g)
-                    np.add.at(dv, picked.ravel(), (g[:, :, None] * w[j].T[None]).reshape(-1, d))
-            dv[~real] = 0
-            touched = np.flatnonzero(np.abs(dv).sum(axis=1))
-            for j in range(rows.shape[1]):
-                np.add.at(grads[0], rows[touched, j], dv[touched])
+                    grads[i][j] += np.einsum("bfd,bf->df", vectors[picked], g)
+                    spread.append(picked[text, unit])
+                    shares.append(g[text, unit][:, None] * w[j].T[unit])
+            spread, shares = np.concatenate(spread), np.concatenate(shares)
+            touched, dv = _sums(spread[real[spread]], shares[real[spread]], len(numbers))
+            hit = words[numbers[touched]]
+            live, g = _sums(hit.T.ravel(), np.tile(dv, (hit.shape[1], 1)), shape.buckets)  # rows seen in this step
+            seen[live] += 1
             step += 1
+            q, m, s = model.embed[live], embed_m[live], embed_s[live]
+            g += l2 * q
+            m += 0.1 * (g - m)
+            s += 0.01 * (g**2 - s)
+            embed_m[live], embed_s[live] = m, s
+            model.embed[live] = q - lr * m / (np.sqrt(s) + 1e-6)
             for q, g, (m, s) in zip(params, grads, moments):
-                if q is params[0]:
-                    live = np.flatnonzero(np.abs(g).sum(axis=1))  # rows seen in this step
-                    seen[live] += 1
-                    g = g[live] + l2 * q[live]
-                    m[live] += 0.1 * (g - m[live])
-                    s[live] += 0.01 * (g**2 - s[live])
-                    q[live] -= lr * m[live] / (np.sqrt(s[live]) + 1e-6)
-                    continue
                 m += 0.1 * (g + l2 * q - m)
                 s += 0.01 * ((g + l2 * q) ** 2 - s)
                 q -= lr * 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)
@@ -267,10 +338,10 @@ def _averaged(shards: DataFrame, model: ToxicityModel, turns: range, seed: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                texts, y, _ = _unpacked(batch, i, rows_type)
+                texts, words, y, _ = _unpacked(batch, i, rows_type)
                 shard = batch.column("shard")[i].as_py()
                 mine = copy.deepcopy(model)
-                seen = descend(mine, texts, y, np.ones(len(y)), np.random.default_rng([seed, turns[0], shard]), turns, **options)
+                seen = descend(mine, texts, words, y, np.ones(len(y)), np.random.default_rng([seed, turns[0], shard]), turns, **options)
                 flat = np.concatenate([((mine.embed - model.embed) * seen[:, None]).ravel(), seen, np.concatenate([a.ravel() for a in _dense(mine)]) * len(y), [len(y)]])
                 yield pa.RecordBatch.from_arrays([pa.array([shard % 8], pa.int32()), pa.array([shard], pa.int32()), pa.array([flat.astype(np.float32).tobytes()], pa.binary())], ["part", "shard", "flat"])
 
@@ -319,11 +390,10 @@ def best_threshold(score: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
     return float((score[order[at]] + lower) / 2)
 
 
-def _unpacked(batch: pa.RecordBatch, i: int, rows_type) -> tuple[list[np.ndarray], np.ndarray, list[str]]:
-    """Texts, labels and languages of a shard."""
+def _unpacked(batch: pa.RecordBatch, i: int, rows_type) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, list[str]]:
+    """Texts as word numbers, the embedding rows of every number, labels and languages of a shard."""
     lengths, words, rows = (np.frombuffer(batch.column(c)[i].as_buffer(), k) for c, k in (("lengths", np.int64), ("words", np.int32), ("rows", rows_type)))
-    texts = np.split(rows.reshape(-1, 1 + len(PREFIXES))[words], np.cumsum(lengths)[:-1])
-    return texts, np.array(batch.column("toxic")[i].as_py(), dtype=np.float64), batch.column("lang")[i].as_py()
+    return np.split(words, np.cumsum(lengths)[:-1]), rows.reshape(-1, 1 + len(PREFIXES)), np.array(batch.column("toxic")[i].as_py(), dtype=np.float64), batch.column("lang")[i].as_py()
 
 
 SHARD = "shard int, held boolean, toxic array<int>, lang array<string>, lengths binary, words binary, rows binary"
@@ -357,7 +427,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
         hashed, known = WordRows(shape.buckets), {}
         order = sorted(zip(table.column("h").to_pylist(), table.column("toxic").to_pylist(), table.column("text").to_pylist(), table.column("lang").to_pylist()))
         texts = [np.array([known.setdefault(w, len(known)) for w in hashed.words(o[2])], np.int32) for o in order]
-        vocabulary = np.array([hashed._rows(w) for w in known], rows_type)
+        vocabulary = hashed.of_words(list(known))
         return pa.table({"shard": table.column("shard").slice(0, 1), "held": table.column("held").slice(0, 1),
                          "toxic": pa.array([[o[1] for o in order]], pa.list_(pa.int32())), "lang": pa.array([[o[3] for o in order]], pa.list_(pa.string())),
                          "lengths": pa.array([np.array([len(t) for t in texts], np.int64).tobytes()], pa.binary()),
@@ -374,8 +444,8 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
     def logits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                texts, y, lang = _unpacked(batch, i, rows_type)
-                cell = np.rint(np.clip(raw_scores(model, texts), -60, 60) * 1024).astype(np.int64)
+                texts, words, y, lang = _unpacked(batch, i, rows_type)
+                cell = np.rint(np.clip(shard_scores(model, texts, words), -60, 60) * 1024).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(y.astype(np.int32)), pa.array(cell)], ["lang", "toxic", "cell"])
 
     watch = shards.where(F.col("held") == F.lit(bool(sides.get(True))))
@@ -399,13 +469,13 @@ def scored(model: ToxicityModel, text: Column) -> Column:
     ship_package(SparkSession.active())
 
     @F.pandas_udf(T.DoubleType())
-    def score(texts: pd.Series) -> pd.Series:
-        hashed = WordRows(model.shape.buckets)
-        out = np.empty(len(texts))
-        for at in range(0, len(texts), 200):
-            z = raw_scores(model, [hashed(t) for t in texts.iloc[at : at + 200]])
-            out[at : at + 200] = sigmoid(model.scale * z + model.shift)
-        return pd.Series(out)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = WordVectors(model)
+        for texts in batches:
+            out = np.empty(len(texts))
+            for at in range(0, len(texts), 200):
+                out[at : at + 200] = sigmoid(model.scale * known.logits(texts.iloc[at : at + 200]) + model.shift)
+            yield pd.Series(out)
 
     return score(text)
 
