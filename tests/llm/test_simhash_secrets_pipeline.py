@@ -72,6 +72,22 @@ def test_links_are_exact_in_small_and_crowded_cells(spark, cell_rows):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+def test_exploded_rows_are_not_broadcast(spark, monkeypatch):
+    """However few fingerprints Spark sees, what is exploded from them is merged, not sent to the driver."""
+    plans, write = [], simhash.materialize
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "materialize", watched)
+    distinct = spark.createDataFrame([(x,) for x in range(200)], "fp long")
+    links = simhash.links(distinct, simhash.PivotTable(), cell_rows=8)
+    plans.append(links._jdf.queryExecution().executedPlan().toString())
+    joins = [line for plan in plans for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 3 and all("SortMergeJoin" in line for line in joins)
+
+
 def test_pivot_table_is_metric(spark):
     table = simhash.PivotTable()
     row = spark.range(1).select(table.distances(F.lit(simhash._signed(0xF0F0F0F0F0F0F0F0))).alias("d")).first()["d"]

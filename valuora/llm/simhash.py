@@ -127,16 +127,19 @@ def links(distinct: DataFrame, pivots: PivotTable, cell_rows: int = 64) -> DataF
     ``distinct`` has one row per fingerprint (``fp``).  Edges from small cells are
     the verified pairs; edges from cells above ``cell_rows`` are stars around
     shared pivots, which connect the same fingerprints.
+
+    Spark takes exploded rows for as few as there were before, so the joins of such rows say
+    that they are sorted and merged: the driver would be sent all of them for a broadcast.
     """
     tables = distinct.select("fp", pivots.distances(F.col("fp")).alias("dist"))
     entries = pivots.add_cells(tables)
-    sizes = entries.groupBy("cell").agg(F.count("*").alias("members")).where("members > 1")
-    shared = materialize(entries.join(sizes, "cell"), "simhash-cells")
+    sizes = materialize(entries.groupBy("cell").agg(F.count("*").alias("members")).where("members > 1"), "simhash-sizes")
+    shared = materialize(entries.hint("merge").join(sizes, "cell"), "simhash-cells")  # both sides are dealt anew: hot cells can be split
     small = shared.where(F.col("members") <= cell_rows).select("cell", "fp")
     left = small.select("cell", F.col("fp").alias("u"), pivots.distances(F.col("fp")).alias("du"))
     right = small.select("cell", F.col("fp").alias("v"), pivots.distances(F.col("fp")).alias("dv"))
     pairs = (
-        left.join(right, "cell")
+        left.hint("merge").join(right, "cell")
         .where("u > v")
         .where(_coordinates_allow(F.col("du"), F.col("dv"), MAX_DISTANCE))
         .where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_DISTANCE)
@@ -146,7 +149,7 @@ def links(distinct: DataFrame, pivots: PivotTable, cell_rows: int = 64) -> DataF
     fine = [F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << b)).cast("long")) for b in range(64)]]
     near = crowded.select("fp", F.explode(F.array(*fine)).alias("pivot"))
     centre = near.groupBy("pivot").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1")
-    stars = near.join(centre, "pivot").where("fp != v").select(F.col("fp").alias("u"), "v")
+    stars = near.hint("merge").join(centre, "pivot").where("fp != v").select(F.col("fp").alias("u"), "v")
     return pairs.union(stars).distinct()
 
 
